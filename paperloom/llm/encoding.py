@@ -66,7 +66,7 @@ def vocabulary(words: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str =
     def encode(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = encoder(tokenizer, folder)
         for pdf in batches:
-            yield pdf.assign(ids=[own.encode_single_piece(w) for w in pdf["word"]])
+            yield pdf.assign(ids=[own.encode_ordinary(w) for w in pdf["word"]])
 
     return words.groupBy("word").agg(F.count("*").alias("n")).mapInPandas(encode, "word string, n bigint, ids array<int>")
 
