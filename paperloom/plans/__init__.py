@@ -1 +1 @@
-"""Paperloom plans."""
+"""Named queries and the SQL that they are checked against."""
