@@ -1,7 +1,7 @@
 """Best representative of each duplicate group: Bayesian fusion with copy detection.
 
 A group holds the rows of one paper and one place. Every engine makes one claim per field of a
-group, the value it gives most often. How the claims of the engines agree is all that the
+group, the value it gives most often (the smaller of two). How the claims of the engines agree is all that the
 model needs, so items are counted by that pattern (at most 52 for four engines) and the
 expectation-maximisation runs over the counts: accuracies of engines, the chance that an
 engine copies from another (from shared false values), discounted votes, and the value of
@@ -61,46 +61,43 @@ def rank(level: str = "retrieved_level") -> Column:
     )
 
 
-def survivors(graded: DataFrame) -> DataFrame:
-    """The row ranked first of each group, and the number of its rows: paper_key, pos, graded_id, n_rows."""
-    keyed = graded.select(paper_key("paper_id").alias("paper_key"), "pos", rank().alias("r"))
-    return (
-        keyed.where("paper_key is not null and pos is not null")
-        .groupBy(*KEY)
-        .agg(F.max("r").alias("best"), F.count("*").alias("n_rows"))
-        .select(*KEY, (-F.col("best.minus_id")).alias("graded_id"), "n_rows")
-    )
-
-
-def claims(graded: DataFrame) -> DataFrame:
-    """One row per group and field: for each engine i its value v{i}, and the pattern of agreement.
+def groups(graded: DataFrame) -> DataFrame:
+    """One row per group: paper_key, pos, graded_id of the row ranked first, n_rows, claims.
 
-    The pattern has a sign per engine: the first engine with the same value, or - without a claim.
+    ``claims`` has for each field an array with the claim of each engine, null where it makes none.
+    Both aggregations combine map-side, so rows of one hot group never meet in one task.
     """
-    each = graded.select(
-        paper_key("paper_id").alias("paper_key"), "pos", "retrieved_at",
-        engine("candidate.from_structure").alias("engine"),
-        F.explode(F.array(*(
-            F.struct(F.lit(f).alias("field"), F.col(f"candidate.{f}").cast("string").alias("value")) for f in FIELDS
-        ))).alias("c"),
-    ).select(*KEY, "engine", "retrieved_at", "c.field", "c.value")
-    norm = F.regexp_replace(F.lower("value"), r"[^\p{L}\p{N}]+", " ")
-    each = each.withColumn("norm", F.trim(norm)).where("paper_key is not null and pos is not null and norm <> ''")
-    support = each.groupBy(*KEY, "field", "engine", "norm").agg(
-        F.count("*").alias("n"), F.max("retrieved_at").alias("at"), F.max("value").alias("value")
+    fields = [F.nullif(F.trim(F.col(f"candidate.{f}").cast("string")), F.lit("")).alias(f) for f in FIELDS]
+    rows = graded.select(
+        paper_key("paper_id").alias("paper_key"), "pos", engine("candidate.from_structure").alias("engine"), rank().alias("r"), *fields
+    ).where("paper_key is not null and pos is not null")
+    own = rows.groupBy(*KEY, "engine").agg(
+        F.max("r").alias("r"), F.count("*").alias("n"), *(F.mode(f, deterministic=True).alias(f) for f in FIELDS)
     )
-    own = support.groupBy(*KEY, "field", "engine").agg(F.max(F.struct("n", "at", "norm", "value")).alias("x"))
-    wide = own.groupBy(*KEY, "field").agg(
-        *(F.max(F.when(F.col("engine") == i, F.col("x.norm"))).alias(f"n{i}") for i in range(len(ENGINES))),
-        *(F.max(F.when(F.col("engine") == i, F.col("x.value"))).alias(f"v{i}") for i in range(len(ENGINES))),
+    held = own.groupBy(*KEY).agg(
+        F.max("r").alias("best"), F.sum("n").alias("n_rows"),
+        *(F.max(F.when(F.col("engine") == i, F.struct(*FIELDS))).alias(f"e{i}") for i in range(len(ENGINES))),
     )
-    signs = []
-    for i in range(len(ENGINES)):
-        first = F.lit(str(i))
-        for j in reversed(range(i)):
-            first = F.when(F.col(f"n{j}") == F.col(f"n{i}"), F.lit(str(j))).otherwise(first)
-        signs.append(F.when(F.col(f"n{i}").isNull(), F.lit("-")).otherwise(first))
-    return wide.withColumn("pattern", F.concat(*signs)).drop(*(f"n{i}" for i in range(len(ENGINES))))
+    by_field = (F.array(*(F.col(f"e{i}")[f] for i in range(len(ENGINES)))).alias(f) for f in FIELDS)
+    return held.select(*KEY, (-F.col("best.minus_id")).alias("graded_id"), "n_rows", F.struct(*by_field).alias("claims"))
+
+
+def pattern(values: Column) -> Column:
+    """How the claims of a field agree: a sign per engine, the first engine with the same value, or - for none."""
+    norm = F.transform(values, lambda v: F.nullif(F.regexp_replace(F.lower(v), r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
+
+    def signs(n: Column) -> Column:
+        at = F.transform(n, lambda v: F.coalesce(F.array_position(n, v) - 1, F.lit(-1)))
+        return F.array_join(F.transform(at, lambda i: F.when(i < 0, F.lit("-")).otherwise(i.cast("string"))), "")
+
+    return F.get(F.transform(F.array(norm), signs), F.lit(0))
+
+
+def pattern_counts(held: DataFrame) -> dict[str, int]:
+    """Number of items of each pattern; at most 52 of them for four engines."""
+    each = held.select(F.explode(F.array(*(pattern(F.col(f"claims.{f}")) for f in FIELDS))).alias("pattern"))
+    counts = each.groupBy("pattern").count().collect()
+    return {r["pattern"]: r["count"] for r in counts if set(r["pattern"]) != {"-"}}
 
 
 def fit(patterns: dict[str, int], rounds: int = 12, false_values: int = 20, copying: float = 0.8) -> dict:
@@ -157,26 +154,26 @@ def fit(patterns: dict[str, int], rounds: int = 12, false_values: int = 20, copy
 def fuse(graded: DataFrame) -> DataFrame:
     """One record per group: paper_key, pos, graded_id, n_rows, each field's best-supported value,
     and ``support``, the mean posterior probability of the fused values."""
-    items = persist_table(claims(graded), "claims")
-    counts = {r["pattern"]: r["count"] for r in items.groupBy("pattern").count().collect()}  # 52 rows at most
-    model = fit(counts)
-    rows = [(p, e, s) for p, (e, s) in model["chosen"].items()]
-    chosen = F.broadcast(graded.sparkSession.createDataFrame(rows, "pattern string, engine int, posterior double"))
-    value = F.element_at(F.array(*(F.col(f"v{i}") for i in range(len(ENGINES)))), F.col("engine") + 1)
-    fields = (
-        items.join(chosen, "pattern")
-        .select(*KEY, "field", value.alias("value"), "posterior")
-        .groupBy(*KEY)
-        .agg(*(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS), F.avg("posterior").alias("support"))
-        .withColumn("year", F.col("year").cast("int"))
-    )
-    return survivors(graded).join(fields, list(KEY), "left")
+    held = persist_table(groups(graded), "groups")
+    chosen = fit(pattern_counts(held))["chosen"]
+    pairs = [F.lit(x) for p, (e, q) in sorted(chosen.items()) for x in (p, f"{e} {q:.6f}")]
+    verdicts = F.create_map(*pairs) if pairs else F.create_map(F.lit("-"), F.lit("0 0"))
+
+    def decided(f: str) -> Column:
+        verdict = F.split(F.element_at(verdicts, pattern(F.col(f"claims.{f}"))), " ")
+        value = F.get(F.col(f"claims.{f}"), F.get(verdict, F.lit(0)).cast("int"))
+        return F.struct(value.alias("value"), F.get(verdict, F.lit(1)).cast("double").alias("posterior"))
+
+    made = held.select(*KEY, "graded_id", "n_rows", *(decided(f).alias(f) for f in FIELDS))
+    known = F.array_compact(F.array(*(F.col(f"{f}.posterior") for f in FIELDS)))
+    mean = F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(known), F.lit(0))
+    values = [F.col(f"{f}.value").alias(f) if f != "year" else F.col("year.value").try_cast("int").alias("year") for f in FIELDS]
+    return made.select(*KEY, "graded_id", "n_rows", *values, mean.alias("support"))
 
 
 def source_model(graded: DataFrame) -> DataFrame:
     """The fitted accuracy of each engine and, per pair, the chance that one copies the other."""
-    counts = {r["pattern"]: r["count"] for r in claims(graded).groupBy("pattern").count().collect()}
-    model = fit(counts)
+    model = fit(pattern_counts(groups(graded)))
     rows = [(ENGINES[i], None, a) for i, a in enumerate(model["accuracy"])]
     rows += [(ENGINES[i], ENGINES[j], d) for (i, j), d in model["depends"].items()]
     return graded.sparkSession.createDataFrame(rows, "engine string, other string, value double")
