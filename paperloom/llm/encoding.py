@@ -92,8 +92,10 @@ def encode(
         F.col(id_col).alias("doc_id"), F.lit(-1).alias("pos"), F.array().cast("array<int>").alias("ids")
     )
     rows = with_ids(words, vocab).unionByName(blank)
-    placed = F.array_sort(F.array_distinct(F.collect_list(F.struct("pos", "ids"))))
-    return rows.groupBy("doc_id").agg(placed.alias("x")).select("doc_id", F.flatten(F.col("x.ids")).alias("ids"))
+    placed = F.sort_array(F.collect_list(F.struct("pos", "ids")))
+    once = F.filter("x", lambda w, i: (i == 0) | (F.get("x", i - 1)["pos"] != w["pos"]))
+    found = rows.groupBy("doc_id").agg(placed.alias("x"))
+    return found.select("doc_id", F.flatten(F.transform(once, lambda w: w["ids"])).alias("ids"))
 
 
 def token_counts(
@@ -117,7 +119,7 @@ def decode(encoded: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = VO
     """Texts from ids, by a join with the piece table: doc_id, text. An unknown id has no piece."""
     table = F.broadcast(pieces(encoded.sparkSession, tokenizer, folder))
     rows = encoded.select("doc_id", F.posexplode_outer("ids").alias("pos", "id"))
-    placed = F.array_sort(F.collect_list(F.struct("pos", F.coalesce("piece", F.lit("")).alias("piece"))))
+    placed = F.sort_array(F.collect_list(F.struct("pos", F.coalesce("piece", F.lit("")).alias("piece"))))
     return rows.join(table, "id", "left").groupBy("doc_id").agg(
         F.unhex(F.array_join(placed["piece"], "")).cast("string").alias("text")
     )
