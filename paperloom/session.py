@@ -47,6 +47,8 @@ def persist_table(df: DataFrame, label: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # The shuffle files behind the cut are needed no longer; Spark removes them when the driver collects its garbage.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
