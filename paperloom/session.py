@@ -42,13 +42,21 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: The setting by which an execution removes its shuffle files at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def persist_table(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut of lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # The shuffle files behind the cut are needed no longer; Spark removes them when the driver collects its garbage.
-    spark.sparkContext._jvm.System.gc()
+    # The shuffle files of this write are needed no longer once it is done; Spark then removes them.
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
