@@ -59,7 +59,7 @@ MARKDOWN = [
 ]
 WIKI = [
     r"'{2,5}(?=[^'\s])[^'\n]+'{2,5}", r"(?m:^={2,6}[ \t]*[^=\s][^=\n]*={2,6}[ \t]*$)", r"\[\[[^\[\]\n]+\]\]",
-    r"\[https?://[^\s\]]+[ \t][^\]\n]+\]", r"\{\{(?!\\)[^{}]+\}\}", r"(?m:^\{\|)", r"(?m:^\|\})", r"(?m:^\|-)",
+    r"\[https?://[^\s\]]+[ \t][^\]\n]+\]", r"\{\{(?!\\)[^{}]+\}\}", r"(?m:^\{\|)", r"(?m:^\|\})", r"(?m:^\|-{1,2}(?![-|])[^|\n]*$)",
     r"(?<!\w)__[A-Z]{3,}__(?!\w)", r"(?mi:^#redirect\b)",
 ]
 LATEX = [
@@ -147,8 +147,8 @@ def _clean_text(x: Column) -> Column:
         (r"\\(?:section|chapter|part)\*?\{([^{}]*)\}", "\n# $1\n"), (r"\\(?:sub)+section\*?\{([^{}]*)\}", "\n## $1\n"),
         (r"\\(?:sub)?paragraph\*?\{([^{}]*)\}", "\n## $1\n"), (r"\\footnote\{([^{}]*)\}", " ($1)"),
         (r"\\(?:textcolor|color|href)\{[^{}]*\}\{([^{}]*)\}", "$1"), (r"\{\\(?:it|bf|em|sc|tt|rm|sl)\s+([^{}]*)\}", "$1"),
-        (r"~?\\(?:cite[a-z]*|ref|eqref|cref|autoref|pageref)\*?(?:\[[^\]]*\])*\{([^{}]*)\}", " [$1]"),
-        (r"\\item\b\s*", "\n- "), (r"\s*\\begin\{tabular\}(?:\{[^{}]*\})?", ""), (r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?", ""),
+        (r"[ ~]?\\(?:cite[a-z]*|ref|eqref|cref|autoref|pageref)\*?(?:\[[^\]]*\])*\{([^{}]*)\}", " [$1]"),
+        (r"\s*\\item\b\s*", "\n- "), (r"\s*\\begin\{tabular\}(?:\{[^{}]*\})?", ""), (r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?", ""),
         (r"[ \t]*\\\\[ \t]*(?:\\hline)?", " |"), (r"\\l?dots\b", "…"), (r"\\[hv]space\*?\{[^{}]*\}\s*", ""),
         (r"\\([%&_#$\{\}])", "$1"), *((rf"\\\{a}\{{?\\?([A-Za-z])\}}?", f"$1{sign}") for a, sign in ACCENTS.items()),
         (r"(?<![\w:\\/.])\\(alpha|beta|gamma|lambda|sigma|tau|omega|kappa|pi|mu|nu|rho|phi|theta)\b", r"\$\\\\$1\$"),
@@ -177,8 +177,8 @@ def _clean_apart(x: Column) -> Column:
     )
     code = _sub(
         code,
-        (r"^\\begin\{(?:equation|align|gather|displaymath)\*?\}\s*", r"\n\$\$"),
-        (r"\s*(?:\\label\{[^{}]*\}\s*)?\\end\{(?:equation|align|gather|displaymath)\*?\}$", r"\$\$\n"),
+        (r"^\\begin\{(?:equation|align|gather|displaymath)\*?\}\s*", "\n\\$\\$"),
+        (r"\s*(?:\\label\{[^{}]*\}\s*)?\\end\{(?:equation|align|gather|displaymath)\*?\}$", "\\$\\$\n"),
     )
     return F.when(x.startswith("$") | x.startswith("`"), x).otherwise(code)
 

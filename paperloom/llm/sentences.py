@@ -205,7 +205,7 @@ def _units(raw: Column, ends: str) -> Column:
         follows = F.btrim(line(i + 1), F.lit(" \t\r"))
         plain = (
             (F.length(text).between(1, 48))
-            & ~line(i).rlike(ends) & ~text.rlike(r"[,–—-]$")
+            & ~line(i).rlike(ends) & ~text.rlike(rf"[,–—{DOT}-]$")
             & text.rlike(r"^(?:\d{1,2}(?:[." + DOT + r"]\d{1,2})*[." + DOT + r"]?\s+)?[\p{Lu}\p{Lo}]")
             & (blank(i - 1) | line(i - 1).rlike(ends))
             & follows.rlike(rf"^(?:{_START}|\p{{Lo}}|[{OPEN}(（\d]|T = )")
