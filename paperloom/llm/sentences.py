@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 SEP, DOT, STOP, LINE, OPEN, CLOSE, TOLD = (chr(0xFDD0 + i) for i in range(7))
 _RESERVED = "".join(chr(0xFDD0 + i) for i in range(32))
 
+#: Blanks that are no ASCII white space; for finding ends they are like any blank (fixed values).
+BLANKS = "\u00a0\u1680" + "".join(chr(0x2000 + i) for i in range(11)) + "\u202f\u205f\u3000"
+
 #: Abbreviations that never end a sentence before a name, number or bracket (fixed values).
 ABBREVIATIONS = (
     # English
@@ -110,7 +113,7 @@ def _abbreviations(x: Column) -> Column:
         x,
         (r"(?<=\d)\.(?=\d)", DOT),
         # letters with points: all but the last point
-        (rf"(?<![\p{{L}}\p{{M}}])(\p{{L}}{{1,2}})\.(?=\s?\p{{L}}{{1,2}}\.)", f"$1{DOT}"),
+        (rf"(?<![\p{{L}}\p{{M}}])(?<!\bde\s)(\p{{L}}{{1,2}})\.(?=\s?\p{{L}}{{1,2}}\.)", f"$1{DOT}"),
         (rf"(?<![\p{{L}}\p{{M}}])({pairs})\.", f"$1{DOT}"),
         (rf"(?<![\p{{L}}\p{{M}}])({single})\.(?=[\s({OPEN}-]|\d|$)", f"$1{DOT}"),
         (r"(?<![\p{L}\p{M}])([Nn]o|p|ch|Art|min|max|v|n|п|ст|т)\.(?=\s*\d)", f"$1{DOT}"),
@@ -236,7 +239,7 @@ def _thai(x: Column) -> Column:
 
 def separated(text: Column) -> Column:
     """The text with a separator after each unit; without separators as long as the original."""
-    x = F.translate(text, _RESERVED, "\ufffd" * 32)
+    x = F.translate(text, _RESERVED + BLANKS, "\ufffd" * 32 + " " * len(BLANKS))
     x = _formulas(x)
     x = _sub(x, (r"(\r?\n[ \t\r\u00a0]*\n)", f"{SEP}$1"))
     x = _abbreviations(x)
