@@ -16,11 +16,11 @@ def shard_of(df: DataFrame, order: str, parts: int, name: str = "shard") -> Data
     Ranks come from a range-partitioned sort and per-partition counts, not from one task.
     """
     ranked = with_rank(df, order, "_rank")
-    n = F.broadcast(df.agg(F.count("*").alias("_n")))
-    bound = F.floor((F.col("_rank") * parts + parts - 1) / F.greatest("_n", F.lit(1)))
-    candidates = ranked.crossJoin(n).withColumn(name, F.least(bound, F.lit(parts - 1)).cast("int"))
-    low = F.floor(F.col(name) * F.col("_n") / parts)
-    return candidates.withColumn(name, F.when(F.col("_rank") < low, F.col(name) - 1).otherwise(F.col(name))).drop("_rank", "_n")
+    n = df.count()
+    bound = F.floor((F.col("_rank") * parts + parts - 1) / max(n, 1))
+    candidates = ranked.withColumn(name, F.least(bound, F.lit(parts - 1)).cast("int"))
+    low = F.floor(F.col(name) * n / parts)
+    return candidates.withColumn(name, F.when(F.col("_rank") < low, F.col(name) - 1).otherwise(F.col(name))).drop("_rank")
 
 
 def with_rank(df: DataFrame, order: str, name: str) -> DataFrame:

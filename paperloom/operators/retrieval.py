@@ -50,11 +50,11 @@ def bm25(queries: DataFrame, docs: DataFrame, fields: Sequence[str], k: int, qid
     """
     index = persist_table(postings(docs, did, fields), "postings")
     asked = persist_table(postings(queries, qid, fields).select(qid, "field", "token").distinct(), "asked")
-    sizes = docs.agg(F.count("*").alias("n_docs"))
+    n_docs = docs.count()
     field_len = index.select(did, "field", "len").distinct().groupBy("field").agg(F.avg("len").alias("avg_len"))
     df = index.groupBy("field", "token").agg(F.count("*").alias("df"))
     stats = persist_table(
-        df.join(F.broadcast(field_len), "field").crossJoin(F.broadcast(sizes))
+        df.join(F.broadcast(field_len), "field").withColumn("n_docs", F.lit(n_docs))
         .withColumn("idf", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))), "stats"
     )
     used = asked.join(stats.select("field", "token", "df", "idf", "avg_len", "n_docs"), ["field", "token"])
