@@ -101,7 +101,7 @@ def queries() -> dict[str, Query]:
 _P3 = """
 WITH k AS (
   SELECT graded_id, pos, retrieved_at, retrieved_level, candidate AS c,
-    nullif(regexp_replace(regexp_replace(lower(trim(paper_id)),
+    nullif(regexp_replace(regexp_replace(replace(lower(trim(paper_id)), '_', '/'),
       '^(?:https?://)?(?:www\\.)?(?:arxiv\\.org/(?:abs|pdf)/)?(?:arxiv\\s*:\\s*)?', ''), '(?:v\\d+)?(?:\\.pdf)?\\s*$', ''), '') AS paper
   FROM graded),
 r AS (

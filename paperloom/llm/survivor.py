@@ -33,8 +33,9 @@ KEY = ("paper_key", "pos")
 
 
 def paper_key(paper_id: str | Column) -> Column:
-    """A paper id however typed: without prefix or address, version, case and outer blanks."""
+    """A paper id however typed: without prefix or address, version, case and outer blanks, with a slash for an underscore."""
     x = F.lower(F.trim(F.col(paper_id) if isinstance(paper_id, str) else paper_id))
+    x = F.translate(x, "_", "/")
     x = F.regexp_replace(x, r"^(?:https?://)?(?:www\.)?(?:arxiv\.org/(?:abs|pdf)/)?(?:arxiv\s*:\s*)?", "")
     return F.nullif(F.regexp_replace(x, r"(?:v\d+)?(?:\.pdf)?\s*$", ""), F.lit(""))
 

@@ -67,3 +67,9 @@ def test_odd_rows(spark):
     got = {r.pos: (r.graded_id, r.n_rows, r.title, r.support) for r in survivor.fuse(made(spark, rows)).collect()}
     assert got == {3: (9, 2, None, None), 5: (4, 1, None, None)}
     assert survivor.fuse(made(spark, rows).limit(0)).count() == 0
+
+
+def test_old_ids_however_typed(spark):
+    forms = ["qfx-th/6908006", "qfx-th_6908006", "arXiv:qfx-th/6908006", " QFX-TH/6908006v2 ", "https://arxiv.org/abs/qfx-th/6908006"]
+    got = survivor.fuse(made(spark, [row(i, paper=p) for i, p in enumerate(forms)])).collect()
+    assert [(r.paper_key, r.n_rows) for r in got] == [("qfx-th/6908006", len(forms))]
