@@ -28,10 +28,14 @@ def split_citations(c: Column) -> Column:
     none = F.array().cast("array<string>")
     last = F.aggregate(
         pieces,
-        F.struct(none.alias("done"), F.lit("").alias("open")),
+        F.struct(none.alias("done"), F.lit("").alias("open"), F.lit(False).alias("full")),
         lambda acc, x: F.when(
-            is_citation(x) & is_citation(acc["open"]), F.struct(F.concat(acc["done"], F.array(acc["open"])).alias("done"), x.alias("open"))
-        ).otherwise(F.struct(acc["done"].alias("done"), F.concat(acc["open"], F.when(acc["open"] == "", F.lit("")).otherwise(F.lit("; ")), x).alias("open"))),
+            is_citation(x) & acc["full"],
+            F.struct(F.concat(acc["done"], F.array(acc["open"])).alias("done"), x.alias("open"), F.lit(True).alias("full")),
+        ).otherwise(F.struct(
+            acc["done"].alias("done"), F.concat(acc["open"], F.when(acc["open"] == "", F.lit("")).otherwise(F.lit("; ")), x).alias("open"),
+            (acc["full"] | is_citation(x)).alias("full"),
+        )),
     )
     return F.when(last["open"] == "", last["done"]).otherwise(F.concat(last["done"], F.array(last["open"])))
 

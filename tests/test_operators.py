@@ -55,7 +55,7 @@ def test_similarity():
 def test_similarity_takes_nulls(spark):
     kind = scoring.RECORD
     df = spark.createDataFrame([(1, None, None), (2, tuple(record(title="a b").values()), tuple(record(title="a b").values()))], f"i int, a {kind}, b {kind}")
-    assert {r.i: r.s for r in df.select("i", scoring.similarity_udf("a", "b").alias("s")).collect()} == {1: 1.0, 2: 1.0} or True
+    assert {r.i: r.s for r in df.select("i", scoring.similarity_udf("a", "b").alias("s")).collect()} == {1: 0.0, 2: 1.0}
 
 
 CANDIDATES = "c int, engine string, score double, rank int, title string, ids map<string,string>, is_note boolean"
@@ -156,7 +156,7 @@ def test_citation_texts(spark):
     got = {}
     for r in citations.split_rows(df).collect():
         got.setdefault(r.i, []).append(r.text)
-    assert got == {1: [a, b], 2: [f"{a}; pp. 3"], 3: ["short"], 4: [None], 5: [f"front; {a}; {b}"]} or got[5] == [f"front; {a}", b]
+    assert got == {1: [a, b], 2: [f"{a}; pp. 3"], 3: ["short"], 4: [None], 5: [f"front; {a}", b]}
     short = spark.createDataFrame([("x" * 7000,), ("y",)], "t string").select(citations.shortened(F.col("t")).alias("t")).collect()
     assert [len(r.t) for r in short] == [6004, 1]
     refs = spark.createDataFrame([("p", 0, "a"), ("p", 1, "b"), ("q", 0, "c")], "paper_id string, pos int, text string")
