@@ -1,7 +1,7 @@
 """Best representative of each duplicate group: Bayesian fusion with copy detection.
 
 A group holds the rows of one paper and one place. Every engine makes one claim per field of a
-group, the value it gives most often (the smaller of two). How the claims of the engines agree is all that the
+group, the value it gives most often however spelt (of two, the one retrieved last). How the claims of the engines agree is all that the
 model needs, so items are counted by that pattern (at most 52 for four engines) and the
 expectation-maximisation runs over the counts: accuracies of engines, the chance that an
 engine copies from another (from shared false values), discounted votes, and the value of
@@ -30,6 +30,8 @@ FIELDS = ("doi", "arxiv", "dblp", "mag", "pubmed", "title", "journal", "journal_
 #: Engines in order of preference; whatever else is typed is "other" (fixed values).
 ENGINES = ("anystyle", "grobid", "plain_text", "other")
 KEY = ("paper_key", "pos")
+#: Rows of one engine in one group from which its votes are counted by shuffles and not in one place (at most rows / HOT_ROWS such).
+HOT_ROWS = 1_000
 
 
 def paper_key(paper_id: str | Column) -> Column:
@@ -62,20 +64,52 @@ def rank(level: str = "retrieved_level") -> Column:
     )
 
 
+def norm(value: Column) -> Column:
+    """What spellings of one value have in common, its letters and digits parted by single blanks; null without any."""
+    return F.nullif(F.trim(F.regexp_replace(F.lower(value), r"[^\p{L}\p{N}]+", " ")), F.lit(""))
+
+
+def _claim(rows: Column, field: str) -> Column:
+    """The value of most votes in an array of rows; ties go to the latest, then to the greater."""
+    votes = F.transform(rows, lambda x: F.struct(norm(x[field]).alias("norm"), x["at"].alias("at"), x[field].alias("value")))
+    votes = F.filter(votes, lambda v: v["norm"].isNotNull())
+
+    def total(v: Column, of: Column) -> Column:
+        same = F.filter(of, lambda w: w["norm"] == v["norm"])
+        at, value = F.array_max(F.transform(same, lambda w: w["at"])), F.array_max(F.transform(same, lambda w: w["value"]))
+        return F.struct(F.size(same).alias("n"), at.alias("at"), v["norm"].alias("norm"), value.alias("value"))
+
+    return F.get(F.transform(F.array(votes), lambda of: F.array_max(F.transform(of, lambda v: total(v, of)))), F.lit(0))["value"]
+
+
+def _hot_claims(rows: DataFrame) -> DataFrame:
+    """Claims of engines with many rows in a group: the same rule, by aggregations that combine map-side."""
+    each = rows.select(*KEY, "engine", F.col("r.at").alias("at"), F.explode(F.array(*(
+        F.struct(F.lit(f).alias("field"), norm(F.col(f)).alias("norm"), F.col(f).alias("value")) for f in FIELDS
+    ))).alias("c")).select(*KEY, "engine", "at", "c.*").where("norm is not null")
+    votes = each.groupBy(*KEY, "engine", "field", "norm").agg(F.count("*").alias("n"), F.max("at").alias("at"), F.max("value").alias("value"))
+    most = votes.groupBy(*KEY, "engine", "field").agg(F.max(F.struct("n", "at", "norm", "value"))["value"].alias("value"))
+    wide = most.groupBy(*KEY, "engine").agg(*(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS))
+    return rows.groupBy(*KEY, "engine").agg(F.max("r").alias("r"), F.count("*").alias("n")).join(wide, [*KEY, "engine"], "left")
+
+
 def groups(graded: DataFrame) -> DataFrame:
     """One row per group: paper_key, pos, graded_id of the row ranked first, n_rows, claims.
 
     ``claims`` has for each field an array with the claim of each engine, null where it makes none.
-    Both aggregations combine map-side, so rows of one hot group never meet in one task.
+    Rows of one hot group never meet in one task.
     """
     fields = [F.nullif(F.trim(F.col(f"candidate.{f}").cast("string")), F.lit("")).alias(f) for f in FIELDS]
     rows = graded.select(
         paper_key("paper_id").alias("paper_key"), "pos", engine("candidate.from_structure").alias("engine"), rank().alias("r"), *fields
     ).where("paper_key is not null and pos is not null")
-    own = rows.groupBy(*KEY, "engine").agg(
-        F.max("r").alias("r"), F.count("*").alias("n"), *(F.mode(f, deterministic=True).alias(f) for f in FIELDS)
+    own = [*KEY, "engine"]
+    hot = F.broadcast(rows.groupBy(*own).count().where(F.col("count") >= HOT_ROWS).select(*own))
+    few = rows.join(hot, own, "left_anti").groupBy(*own).agg(
+        F.max("r").alias("r"), F.count("*").alias("n"), F.collect_list(F.struct(F.col("r.at").alias("at"), *FIELDS)).alias("all")
     )
-    held = own.groupBy(*KEY).agg(
+    claimed = few.select(*own, "r", "n", *(_claim(F.col("all"), f).alias(f) for f in FIELDS))
+    held = claimed.unionByName(_hot_claims(rows.join(hot, own, "left_semi"))).groupBy(*KEY).agg(
         F.max("r").alias("best"), F.sum("n").alias("n_rows"),
         *(F.max(F.when(F.col("engine") == i, F.struct(*FIELDS))).alias(f"e{i}") for i in range(len(ENGINES))),
     )
@@ -85,13 +119,13 @@ def groups(graded: DataFrame) -> DataFrame:
 
 def pattern(values: Column) -> Column:
     """How the claims of a field agree: a sign per engine, the first engine with the same value, or - for none."""
-    norm = F.transform(values, lambda v: F.nullif(F.regexp_replace(F.lower(v), r"[^\p{L}\p{N}]+", " "), F.lit(" ")))
+    normed = F.transform(values, norm)
 
     def signs(n: Column) -> Column:
         at = F.transform(n, lambda v: F.coalesce(F.array_position(n, v) - 1, F.lit(-1)))
         return F.array_join(F.transform(at, lambda i: F.when(i < 0, F.lit("-")).otherwise(i.cast("string"))), "")
 
-    return F.get(F.transform(F.array(norm), signs), F.lit(0))
+    return F.get(F.transform(F.array(normed), signs), F.lit(0))
 
 
 def pattern_counts(held: DataFrame) -> dict[str, int]:

@@ -4,6 +4,9 @@ import datetime as dt
 import math
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from paperloom.llm import survivor
 from paperloom.llm.survivor import FIELDS
 
@@ -73,3 +76,16 @@ def test_old_ids_however_typed(spark):
     forms = ["qfx-th/6908006", "qfx-th_6908006", "arXiv:qfx-th/6908006", " QFX-TH/6908006v2 ", "https://arxiv.org/abs/qfx-th/6908006"]
     got = survivor.fuse(made(spark, [row(i, paper=p) for i, p in enumerate(forms)])).collect()
     assert [(r.paper_key, r.n_rows) for r in got] == [("qfx-th/6908006", len(forms))]
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_claims_over_spellings_and_recency(spark, monkeypatch, hot):
+    monkeypatch.setattr(survivor, "HOT_ROWS", hot, raising=False)
+    rows = [row(i, journal=j, title=t, at=a) for i, (j, t, a) in enumerate([
+        ("Phys. Rev.", "a", 1), ("phys rev", "B", 3), ("PHYS REV", "b.", 2), ("Acta", "a", 0), ("Acta", None, 9)])]  # two spell one journal; a tie of titles
+    rows.append(row(9, engine="grobid", journal="phys rev", title="?!"))
+    held = survivor.groups(made(spark, rows))
+    got = held.select("n_rows", "claims.journal", "claims.title", survivor.pattern(F.col("claims.journal")).alias("p")).collect()[0]
+    assert (got.n_rows, survivor.ENGINES[:2]) == (6, ("anystyle", "grobid"))
+    assert [x and x.lower().strip(".").replace(".", "") for x in got.journal] == ["phys rev", "phys rev", None, None]
+    assert got.title[0] in ("B", "b.") and got.title[1] is None and got.p == "00--"
