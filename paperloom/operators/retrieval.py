@@ -78,20 +78,28 @@ def resolved_by_id(queries: DataFrame, text: str = "content", given: str | None
 
 
 def staged(queries: DataFrame, docs: DataFrame, fields: Sequence[str], record: Column, doc_record: Column, parsers: Sequence[str],
-           accept: float = 0.95, retry: float = 0.5, keep: int = 3, wide: int = 5) -> DataFrame:
-    """Candidates of each citation from its parsers' records.
+           accept: float = 0.95, retry: float = 0.5, keep: int = 3, wide: int = 5, given: str | None = None) -> DataFrame:
+    """Candidates of each citation from its parsers' records.
 
-    ``queries`` has cite_id, parser, rank and the fields. First the best hit per parser, in the order of
+    ``queries`` has cite_id, parser and the fields, a row per citation and parser. With ``given``, the
+    column of an id, records that name theirs (there or in content) get it as found_id without a search. First the best hit per parser, in the order of
     parsers, up to the first above ``accept``. Citations whose best is at most ``retry`` then get
     ``wide`` hits per parser, re-scored, of which ``keep`` stay. Order: score, parser, hit.
     """
     place = F.array_position(F.array(*map(F.lit, parsers)), F.col("parser"))
     asked = queries.withColumn("query_id", F.concat_ws("/", "cite_id", "parser")).withColumn("place", place).withColumn("q", record)
+    if given:
+        named = resolved_by_id(asked, given=given).select("cite_id", "parser", "place", "found_id", "score", "query_id")
+        asked = asked.join(named.select("query_id"), "query_id", "left_anti")
     hits = bm25(asked, docs, fields, wide)
     full = hits.join(asked.select("query_id", "cite_id", "parser", "place", "q"), "query_id").join(
         docs.withColumn("d", doc_record).select("entity_id", "d"), "entity_id"
     )
-    scored = persist_table(full.select("cite_id", "parser", "place", "entity_id", "hit_rank", similarity_udf("d", "q").alias("score")), "scored")
+    scored = full.select("cite_id", "parser", "place", "entity_id", "hit_rank", similarity_udf("d", "q").alias("score"))
+    if given:
+        by_id = named.drop("query_id").withColumns({"entity_id": F.lit(None).cast(docs.schema["entity_id"].dataType), "hit_rank": F.lit(1)})
+        scored = scored.unionByName(by_id, allowMissingColumns=True)
+    scored = persist_table(scored, "scored")
     top = scored.where("hit_rank = 1")
     stop = top.where(F.col("score") > accept).groupBy("cite_id").agg(F.min("place").alias("stop"))
     first = top.join(stop, "cite_id", "left").where("stop is null or place <= stop").drop("stop")

@@ -327,18 +327,36 @@ def s13_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("graded_id", scoring.similarity_udf("r", "q").alias("similarity"))
 
 
+#: Parsers in the order in which they are asked; rows of any other engine are read as the last (fixed values).
+_PARSERS = ("anystyle", "grobid", "plain_text")
+
+
+def _parsed_citations(graded: DataFrame) -> DataFrame:
+    """The record of each parser for the citations of every hundredth row: that row itself, or the latest of the other parsers."""
+    engine = F.lower(F.trim(F.coalesce("candidate.from_structure", F.lit(""))))
+    rows = graded.select(
+        "graded_id", "paper_id", "pos", "retrieved_at", F.when(engine.isin(*_PARSERS), engine).otherwise(_PARSERS[-1]).alias("parser"), "candidate"
+    )
+    asked = rows.where("graded_id % 100 = 0")
+    others = rows.join(asked.select(F.col("graded_id").alias("cite_id"), "paper_id", "pos"), ["paper_id", "pos"])
+    every = others.unionByName(asked.withColumn("cite_id", F.col("graded_id"))).withColumn("own", F.col("graded_id") == F.col("cite_id"))
+    best = every.groupBy("cite_id", "parser").agg(F.max_by("candidate", F.struct("own", F.col("retrieved_at"), -F.col("graded_id"))).alias("c"))
+    return best.select(
+        "cite_id", "parser", *(F.col(f"c.{f}").alias(f) for f in (*retrieval.ENGINES["integrate"], "content")),
+        F.nullif(F.trim("c.arxiv"), F.lit("")).alias("given"),
+    )
+
+
 @query()
 def s8_staged(spark: SparkSession, sf: str) -> DataFrame:
-    """Staged retrieval of catalogue works for the citations of every hundredth row."""
-    c = table(spark, sf, "graded").where("graded_id % 100 = 0").select(
-        F.col("graded_id").alias("cite_id"), F.explode(F.array(F.lit("anystyle"), F.lit("grobid"))).alias("parser"), "candidate.*"
-    ).select("cite_id", "parser", "title", "author", "journal", "journal_volume", "journal_page", "year", "content")
+    """Staged retrieval of catalogue works for the citations of every hundredth row, from each parser's own record."""
+    c = _parsed_citations(table(spark, sf, "graded"))
     docs = persist_table(table(spark, sf, "s2_rows").select(
         F.col("corpus_id").alias("entity_id"), "title", F.transform("authors", lambda a: a["name"]).alias("author"), F.col("journal.name").alias("journal"),
         F.col("journal.volume").alias("journal_volume"), F.col("journal.pages").alias("journal_page"), "year", F.lit(None).cast("string").alias("content"),
     ), "docs")
     record = F.struct(*(F.col(f) for f in ("title", "author", "journal", "journal_volume", "journal_page", "year", "content")))
-    return retrieval.staged(c, docs, ("title", "author"), record, record, ("anystyle", "grobid"))
+    return retrieval.staged(c, docs, retrieval.ENGINES["integrate"], record, record, _PARSERS, given="given")
 
 
 _GRADED_SQL = """
