@@ -1,50 +1,38 @@
 """Variant spellings of names: metric-space partitioning with exact radius joins.
 
-Each distinct name is parsed once into a block (first initial with nicknames resolved, or
-collaboration, and first letter of the surname) and a folded surname. Within blocks the surnames are joined under the edit distance: every
-surname belongs to the cell of its nearest pivot and is replicated to each cell whose pivot is
-no more than two radii farther, so that by the triangle inequality every pair within the radius
-meets in the cell that owns one of them. Surnames that are rare next to a close and better
-supported one are misspellings of it; names of one block and resolved surname are one entity.
+Each distinct name is parsed once into a block (first initial, or collaboration), a folded
+surname and a given name. Given names that stand for each other (nicknames) are learnt from
+citations that carry both with one surname. The distinct surnames are partitioned in the edit
+metric: the pivots are the strings that some surname becomes by as many deletions as the radius
+allows, and a surname is replicated to every pivot that near. Two surnames within the radius
+share such a pivot, so an exact radius join inside the cells loses no pair, wherever the edits
+are. Pivots taken from the surnames themselves prune nothing (README has the figures).
+
+Surnames that are rare next to a close and better supported one, and whose given names do not
+contradict it, are misspellings of it; names of one block and resolved surname are one entity.
 
 Defined results
 ---------------
 * Null, empty and blank strings and "et al." are no names. Strings are kept exactly as stored.
 * Repeated rows add support only. Ties go to the better supported, then the smaller surname.
 * A string without letters forms an entity of its own. Empty tables and arrays give no rows.
-* Very long strings are parsed like others; surnames over 60 signs are compared by equality.
+* Very long strings are treated like others: long surnames meet by equal segments, exactly too.
+* Rows without paper or place teach no nicknames, but their names count.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.llm.survivor import paper_key
 from paperloom.session import persist_table
 
-#: Short forms of given names (fixed values).
-NICKNAMES = {
-    "agnieszka": "aga agi", "alexander": "alex sasha sascha xander", "anthony": "tony", "bogdan": "bodya", "chidi": "",
-    "christopher": "chris topher kit", "daniel": "dan danny", "dmitri": "dima mitya", "edward": "ed ned eddie",
-    "eleonora": "nora lea ella", "elizabeth": "beth liz lizzie betty eliza", "esteban": "este",
-    "francisco": "paco pancho fran", "frederick": "fred freddie fritz", "gabriella": "gabi gaby", "giuseppe": "beppe peppe",
-    "heinrich": "heinz", "isabella": "bella isa", "jasper": "jas", "johannes": "hans hannes", "jonathan": "jon",
-    "katherine": "kathy kate katie kit", "lakshmi": "lak", "leonardo": "leo", "margaret": "peggy maggie meg",
-    "michael": "mike mick", "nicholas": "nick nico", "oleksandra": "lesya olesya", "olga": "olya", "patricia": "pat trish patty",
-    "pradeep": "deep", "quentin": "quent", "richard": "dick rick rich", "robert": "bob rob bobby", "rosalind": "roz ros",
-    "samantha": "sam sammy", "susanna": "sue susie", "tamara": "toma tam", "theodore": "ted theo teddy", "ulrich": "uli",
-    "umberto": "berto", "viktor": "vitya vic", "vladimir": "volodya vova vlad", "william": "bill will billy",
-    "wolfgang": "wolf", "yekaterina": "katya katia", "yusuf": "", "zachary": "zach zack", "zsofia": "zsofi", "thomas": "tom",
-    "james": "jim jimmy", "joseph": "joe", "charles": "charlie", "andrew": "andy", "benjamin": "ben", "matthew": "matt",
-    "mikhail": "misha", "ivan": "vanya", "sergei": "seryozha", "georg": "schorsch", "antonio": "toni",
-}
-SHORT = {short: full for full, all_ in NICKNAMES.items() for short in all_.split()}
 #: Words before a surname, and signs after a name (fixed values).
 PARTICLES = frozenset("de del della den der di da du la le van von ter ten dos das bin al el zu zum zur".split())
 SUFFIXES = frozenset("jr sr ii iii iv".split())
@@ -75,16 +63,15 @@ _PLAIN = re.compile(r"([A-Z])([a-z]*)(\.?) (?:[A-Z]\. )*([A-Z][a-z]{3,})")
 
 
 def parse(name: str) -> tuple[str, str, str]:
-    """(block, surname key, given name or initials) of a name."""
+    """(block, surname key, given name or initials) of a name; the block is the first initial, # for a collaboration."""
     m = _PLAIN.fullmatch(name)
     if m and bool(m[2]) != bool(m[3]) and m[4].lower() not in _NO_SURNAME:
-        given, key = (m[1] + m[2]).lower(), m[4].lower()
-        full = SHORT.get(given, given)
-        return full[0] + key[0], key, full
+        given = (m[1] + m[2]).lower()
+        return given[0], m[4].lower(), given
     flat = " ".join(name.split())
     if _COLLAB.search(flat):
         key = _letters(fold(re.sub(r"\bthe\b", " ", _COLLAB.sub(" ", flat), flags=re.I)))
-        return ("#" + key[:1], key, "") if key else ("?", flat, "")
+        return ("#", key, "") if key else ("?", flat, "")
     family, comma, given = flat.partition(",")
     if comma:
         head = [t for t in re.split(r"[\s.]+", given) if t and t.lower().strip(".,") not in SUFFIXES and t != ","]
@@ -111,11 +98,7 @@ def parse(name: str) -> tuple[str, str, str]:
     trailing = [t for t in given_tokens if t.lower().strip(".") not in PARTICLES]
     key = _letters("".join(fold(t) for t in family_tokens if fold(t).strip(".") not in PARTICLES)) or _letters(fold(family))
     first = _letters(fold(trailing[0])) if trailing else ""
-    raw = _letters(unicodedata.normalize("NFKD", (trailing[0] if trailing else "").lower()))
-    full = SHORT.get(raw, SHORT.get(first, first))
-    if not key:
-        return "?", flat, ""
-    return (full[:1] or "-") + key[:1], key, full
+    return (first[:1] or "-", key, first) if key else ("?", flat, "")
 
 
 NAMES = "name string, n bigint, block string, skey string, given string"
@@ -158,108 +141,179 @@ def edits(a: str, b: str, most: int) -> int:
     return min(rows[-1][-1], most + 1)
 
 
-def choose_pivots(keys: DataFrame, most: int = 64) -> list[str]:
-    """Surnames spread by hash, an eighth of the square root of their number, ``most`` at most."""
-    n = max(1, math.isqrt(keys.count()) // 8)
-    rows = keys.select("skey").distinct().orderBy(F.xxhash64("skey"), "skey").limit(min(most, n)).collect()
-    return [r["skey"] for r in rows]
+#: Letters up to which a surname meets others at the pivots of its deletions, and from which by its segments.
+BY_DELETION, BY_SEGMENT = 24, 23
+#: Segments of a long surname: two edits, transpositions over a border among them, leave one of five whole.
+SEGMENTS = 5
+
+
+def allowed_edits(length: Column) -> Column:
+    """Edits that a surname of this length may be off: none up to two letters, one up to four, else two."""
+    return F.when(length <= 2, 0).when(length <= 4, 1).otherwise(2)
+
+
+def _less_one(x: Column) -> Column:
+    """All strings that a text becomes by one deletion."""
+    return F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.left(x, i - 1), F.substring(x, i + 1, F.length(x))))
+
+
+def deletion_pivots(skey: Column) -> Column:
+    """The pivots of a surname: what it becomes by as many deletions as it may be off."""
+    one = F.when(F.length(skey) > 2, _less_one(skey)).otherwise(F.array().cast("array<string>"))
+    two = F.when(F.length(skey) > 4, F.flatten(F.transform(one, _less_one))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(F.array(skey), one, two))
+
 
+def _segment_keys(skey: Column, length: Column, shift: int) -> Column:
+    """What a surname has, up to ``shift`` places aside, where one of ``length`` has its segments."""
+    shifts = F.sequence(F.lit(-shift), F.lit(shift)) if shift else F.array(F.lit(0))
 
-def radius_join(keys: DataFrame, pivots: list[str], radius: int = 2) -> DataFrame:
-    """All ordered pairs of surnames of one block within ``radius`` edits: block, skey, other, distance.
+    def of(k: Column) -> Column:
+        start, end = (F.floor(length * j / SEGMENTS).cast("int") for j in (k, k + 1))
+        return F.transform(shifts, lambda d: F.xxhash64(length, k, F.substring(skey, start + 1 + d, end - start)))
 
-    Exact. ``keys`` has distinct (block, skey) of at most 60 signs. Cells are built in the
-    Levenshtein metric, which is at most twice the distance with transpositions: within a cell
-    of that doubled radius no pair is lost. Pairs then pass bounds by length, letters and
-    pivot, the Levenshtein bound, and last the distance itself.
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), of))
+
+
+def cells(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cells that own each surname, and those that it is replicated to: (skey, cell), (other, cell)."""
+    n = F.length("skey")
+    near = keys.where(n <= BY_DELETION).select("skey", F.explode(F.transform(deletion_pivots(F.col("skey")), lambda p: F.xxhash64(p))).alias("cell"))
+    long = keys.where(n >= BY_SEGMENT)
+    own = long.select("skey", F.explode(_segment_keys(F.col("skey"), n, 0)).alias("cell"))
+    lengths = F.sequence(n - 2, n + 2)
+    visits = F.array_distinct(F.flatten(F.transform(lengths, lambda x: _segment_keys(F.col("skey"), x, 2))))
+    seen = long.select("skey", F.explode(visits).alias("cell"))
+    return near.unionByName(own), near.unionByName(seen).withColumnRenamed("skey", "other")
+
+
+def radius_join(keys: DataFrame) -> DataFrame:
+    """All ordered pairs of different surnames within :func:`allowed_edits` of the shorter: skey, other, distance.
+
+    Exact, for surnames of any length. ``keys`` has distinct skey. In a cell pairs first pass bounds
+    by length and by the Levenshtein distance, which is at most twice the one with transpositions.
     """
-    wide = 2 * radius
-    at = F.transform(F.array(*map(F.lit, pivots)), lambda p: F.levenshtein(F.col("skey"), p))
-    letters = F.aggregate(
-        F.transform(F.split("skey", ""), lambda c: F.pow(F.lit(2.0), F.ascii(c) % 52).cast("bigint")),
-        F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseOR(bit),
-    )
-    placed = keys.select("block", "skey", F.length("skey").alias("len"), letters.alias("bits"), at.alias("d")).withColumn(
-        "near", F.array_min("d")
-    )
-    owners = placed.select(
-        "block", "skey", "len", "bits", (F.array_position("d", F.col("near")) - 1).cast("int").alias("cell"), F.col("near").alias("ring")
-    )
-    members = placed.select(
-        "block", F.col("skey").alias("other"), F.col("len").alias("len_o"), F.col("bits").alias("bits_o"), "near",
-        F.posexplode("d").alias("cell", "ring_o"),
-    ).where(F.col("ring_o") <= F.col("near") + 2 * wide)
+    owners, members = cells(keys)
+    reach = allowed_edits(F.least(F.length("skey"), F.length("other")))
     meet = (
-        (F.abs(F.col("len") - F.col("len_o")) <= radius)
-        & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_o"))) <= 2 * radius)
-        & (F.abs(F.col("ring") - F.col("ring_o")) <= wide)
-        & (F.col("skey") != F.col("other"))
-        & (F.levenshtein("skey", "other", wide) >= 0)
+        (F.col("skey") < F.col("other"))
+        & (F.abs(F.length("skey") - F.length("other")) <= reach)
+        & (F.expr("levenshtein(skey, other, 4)") >= 0)
     )
-    near = owners.join(members, ["block", "cell"]).where(meet).select("block", "skey", "other")
+    either = owners.join(members, "cell").select(F.least("skey", "other").alias("skey"), F.greatest("skey", "other").alias("other"))
+    near = either.where(meet).distinct().withColumn("reach", reach)
 
     def measured(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf = pdf.assign(distance=[edits(a, b, radius) for a, b in zip(pdf["skey"], pdf["other"], strict=True)])
-            yield pdf[pdf["distance"] <= radius]
+            pdf = pdf.assign(distance=[edits(a, b, r) for a, b, r in zip(pdf["skey"], pdf["other"], pdf["reach"], strict=True)])
+            yield pdf.loc[pdf["distance"] <= pdf["reach"], ["skey", "other", "distance"]]
+
+    found = near.mapInPandas(measured, "skey string, other string, distance int")
+    both = F.array(F.struct("skey", "other"), F.struct(F.col("other").alias("skey"), F.col("skey").alias("other")))
+    return found.select(F.explode(both).alias("p"), "distance").select("p.*", "distance")
+
+
+#: Surnames on which a nickname must be met beside what it stands for.
+TAUGHT_BY = 2
+
+
+def nicknames(graded: DataFrame, names: DataFrame, column: str = "candidate.author", first: int = 2) -> DataFrame:
+    """Given names that stand for longer ones: given, full.
+
+    Rows of one citation name the same people, so two given names at one place of it with one surname
+    are one person's; those met on :data:`TAUGHT_BY` surnames, the longer neither written out from nor
+    a misspelling of the other, are held to be nickname and full name.
+    """
+    rows = graded.select(paper_key("paper_id").alias("paper"), "pos", F.posexplode(F.slice(column, 1, first)).alias("slot", "name"))
+    spelt = rows.where("paper is not null and pos is not null and name is not null").distinct()
+    given = spelt.join(names.where("length(given) > 1").select("name", "skey", "given"), "name")
+    said = given.select("paper", "pos", "slot", "skey", "given").distinct()
+    place = Window.partitionBy("paper", "pos", "slot", "skey")
+    longest = F.max(F.struct(F.length("given").alias("n"), "given")).over(place)["given"]
+    pairs = said.withColumn("full", longest).where(~F.col("full").startswith(F.col("given")) & (F.levenshtein("given", "full") > 2))
+    votes = pairs.select("given", "full", "skey").distinct().groupBy("given", "full").agg(F.count("*").alias("votes"))
+    taught = votes.where(F.col("votes") >= TAUGHT_BY).groupBy("given").agg(F.max(F.struct("votes", "full"))["full"].alias("full"))
+    return _to_the_root(taught, ["given"], "full")
+
+
+def _to_the_root(parent: DataFrame, key: Sequence[str], to: str) -> DataFrame:
+    """The last of the steps from each key, the last column of which ``to`` takes the place of, by pointer jumping.
+
+    Steps go to what is greater by a fixed order, so there are no circles; each round doubles those taken.
+    """
+    *same, last = key
+    parent = persist_table(parent, "roots")
+    while True:
+        further = parent.select(*same, F.col(last).alias(to), F.col(to).alias("next"))
+        step = persist_table(parent.join(further, [*same, to], "left"), "roots")
+        parent = step.select(*key, F.coalesce("next", to).alias(to))
+        if not step.where("next is not null").take(1):
+            return parent
+
+
+def with_full_names(names: DataFrame, nicks: DataFrame) -> DataFrame:
+    """Names whose nicknames are written out, with the block of the full name."""
+    full = F.coalesce("full", "given")
+    block = F.when(F.col("block").isin("#", "?", "-"), F.col("block")).otherwise(F.left(full, F.lit(1)))
+    return names.join(nicks, "given", "left").select("name", "n", block.alias("block"), "skey", full.alias("given"))
 
-    return near.mapInPandas(measured, "block string, skey string, other string, distance int")
 
+def _agree(a: Column, b: Column) -> Column:
+    """Whether two given names may be one person's: unknown, short for the other, or misspelt."""
+    return F.coalesce(a.startswith(b) | b.startswith(a) | (F.levenshtein(a, b, 2) >= 0), F.lit(True))
 
-def resolve(names: DataFrame, radius: int = 2, pivots: int = 64) -> DataFrame:
+
+def resolve(names: DataFrame) -> DataFrame:
     """Misspelt surnames and what they stand for: block, skey, root. Surnames that stand for themselves are left out.
 
     Of two close surnames of one block the one with fewer spellings (then rows) is the misspelt
-    one, unless both are well supported; it stands for its closest, then best supported neighbour.
+    one, unless both are well supported or their given names contradict; it stands for its
+    closest, then best supported neighbour. A slip in the first letter needs more support.
     """
+    spoken = F.when(F.length("given") > 2, F.struct(F.col("n"), F.col("given")))
     keys = persist_table(
-        names.where("block <> '?' and length(skey) <= 60")
-        .groupBy("block", "skey")
-        .agg(F.count("*").alias("forms"), F.sum("n").alias("n")),
+        names.where("block <> '?'").groupBy("block", "skey")
+        .agg(F.count("*").alias("forms"), F.sum("n").alias("n"), F.max(spoken)["given"].alias("given")),
         "surnames",
     )
-    other = keys.select("block", F.col("skey").alias("other"), F.struct("forms", "n", F.col("skey")).alias("w_o"))
-    pairs = (
-        radius_join(keys.select("block", "skey"), choose_pivots(keys, pivots), radius)
-        .join(keys.select("block", "skey", F.struct("forms", "n", "skey").alias("w")), ["block", "skey"])
-        .join(other, ["block", "other"])
+    near = persist_table(radius_join(keys.select("skey").distinct()), "near")
+    one, two = (
+        keys.select("block", F.col("skey").alias(k), F.struct("forms", "n", F.col("skey")).alias(w), F.col("given").alias(g))
+        for k, w, g in (("skey", "w", "given"), ("other", "w_o", "given_o"))
     )
-    short = F.least(F.length("skey"), F.length("other"))
-    allowed = F.when(F.col("block").startswith("#") | (short <= 4), 1).otherwise(radius)
+    pairs = near.join(one, "skey").join(two, ["block", "other"])
+    first = F.left("skey", F.lit(1)) == F.left("other", F.lit(1))
     misspelt = (
-        (F.col("distance") <= allowed)
+        (F.col("distance") <= F.when(F.col("block") == "#", 1).otherwise(2))
         & (F.col("w_o") > F.col("w"))
         & ((F.col("w.forms") < DISTINCT_FORMS) | (F.col("w_o.forms") >= 4 * F.col("w.forms")))
+        & (first | ((F.col("distance") == 1) & (F.col("w_o.forms") >= 4 * F.col("w.forms")) & (F.col("block") != "#")))
+        & _agree(F.col("given"), F.col("given_o"))
     )
     parent = (
         pairs.where(misspelt)
         .groupBy("block", "skey")
         .agg(F.min(F.struct("distance", (-F.col("w_o.forms")).alias("f"), (-F.col("w_o.n")).alias("m"), "other"))["other"].alias("root"))
     )
-    for _ in range(3):  # support grows along the way, so roots are reached by pointer jumping
-        further = parent.select("block", F.col("skey").alias("root"), F.col("root").alias("next"))
-        parent = persist_table(
-            parent.join(further, ["block", "root"], "left").select("block", "skey", F.coalesce("next", "root").alias("root")), "roots"
-        )
-    return parent
+    return _to_the_root(parent, ["block", "skey"], "root")  # support grows along the way
 
 
 #: Spellings from which a surname is held to be a name of its own.
 DISTINCT_FORMS = 4
 
 
-def entities(graded: DataFrame, radius: int = 2, pivots: int = 64) -> DataFrame:
-    """Every name with its entity: name, n, entity."""
-    names = persist_table(distinct_names(graded), "names")
-    roots = resolve(names, radius, pivots)
+def entities(graded: DataFrame) -> DataFrame:
+    """Every name with its entity and the entity's best supported name: name, n, entity, representative."""
+    parsed = persist_table(distinct_names(graded), "names")
+    names = persist_table(with_full_names(parsed, nicknames(graded, parsed)), "names")
     key = F.coalesce("root", "skey")
-    return names.join(roots, ["block", "skey"], "left").select(
-        "name", "n", F.concat_ws(" ", "block", key).alias("entity")
-    )
+    found = names.join(resolve(names), ["block", "skey"], "left").select("name", "n", F.concat_ws(" ", "block", key).alias("entity"))
+    best = Window.partitionBy("entity")
+    return found.withColumn("representative", F.max(F.struct("n", "name")).over(best)["name"])
 
 
-def linked_pairs(graded: DataFrame, radius: int = 2, pivots: int = 64) -> DataFrame:
+def linked_pairs(graded: DataFrame) -> DataFrame:
     """Pairs of different spellings of one entity: name_a, name_b, the smaller first in byte order."""
-    found = persist_table(entities(graded, radius, pivots), "entities")
+    found = persist_table(entities(graded).select("name", "entity"), "entities")
     a, b = found.select("entity", F.col("name").alias("name_a")), found.select("entity", F.col("name").alias("name_b"))
     return a.join(b, "entity").where("name_a < name_b").select("name_a", "name_b")

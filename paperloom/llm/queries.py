@@ -19,7 +19,7 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_entities(spark: SparkSession, sf: str) -> DataFrame:
-    """Every spelling with its entity and rows."""
+    """Every spelling with its entity, its rows and the spelling that represents the entity."""
     return names.entities(table(spark, sf, "graded"))
 
 
