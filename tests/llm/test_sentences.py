@@ -55,8 +55,8 @@ def test_odd_texts(spark):
     assert all(g for g in got[3:])
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.lists(st.text("aB. ?!\n\"'()$«»。“”1-•", max_size=60), min_size=1, max_size=20))
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.text("aB. ?!\n\"'()$«»。“”1-•", max_size=60), min_size=40, max_size=150))
 def test_units_cover_all_that_is_not_blank(spark, texts):
     for text, g in zip(texts, found(spark, texts), strict=True):
         at, kept = 0, []
@@ -71,3 +71,29 @@ def test_long_texts_end(spark, unit):
     text = unit * 20_000
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert sentences.boundaries(df).count() >= (unit.strip() != "")
+
+
+def test_addresses_hold_no_ends(spark):
+    units = [
+        ["See http://site.org/Docs.Html?x=1!Now for more.", "It is there."],
+        ["Visit example.Com today.", "Then ask a.B@Mail.Example.org."],
+        ["As www.Kern.De/A.Txt says, doi 10.1000/Ab.Cd holds.", "So it ends (https://a.b/C.D)."],
+    ]
+    got = found(spark, [" ".join(u) for u in units])
+    assert [[s for _, s in g] for g in got] == units
+
+
+def test_length_of_quotes_and_headings_makes_no_difference(spark):
+    for n in (10, 500, 5_000):
+        said = " ".join(["It is so. We saw it!"] * n)
+        text = f"Tarvik wrote “{said}” and left. (Here {said} too, as is told.) It ends."
+        assert len(found(spark, [text])[0]) == 3
+        head = " ".join(["Very Long Headings of the"] * n) + " Kind"
+        assert [s for _, s in found(spark, [f"{head}\nIt ends. So it does."])[0]] == [head, "It ends.", "So it does."]
+    assert len(found(spark, ["An (open bracket. It goes on.\n\nHere it is closed). So it ends."])[0]) == 4
+
+
+def test_long_documents_take_linear_time(spark):
+    text = "This is a plain sentence of some length. " * 40_000
+    got = found(spark, [text])[0]
+    assert len(got) == 40_000 and {s for _, s in got} == {"This is a plain sentence of some length."} and got[-1][0] == len(text) - 1
