@@ -1,9 +1,10 @@
 """Markup residue in text: kinds of markup per paragraph, and clean text that keeps structure.
 
-Both are column expressions over one paragraph, so they run where the text is read and need no
-shuffle. Code and formulas are set apart first; what they hold is no markup and is kept as it is.
-A host suffix array finds passages that pages share, not markup within a passage, so it can't
-give the required result; a grammar of marks is used instead (see README).
+The kinds are a column expression over one paragraph and need no shuffle. Code and formulas are set
+apart first; what they hold is no markup and is kept as it is. Marks that nest (LaTeX arguments,
+wiki links and templates) are read by depth, the others by a grammar of patterns. Passages that
+the sections of a paper share are found by :mod:`paperloom.llm.suffixes`; they can't tell markup
+from text within a paragraph, so they do not decide the kinds (README has the figures).
 
 The clean text writes headings as ``# x``, list items as ``- x``, code between fences, formulas
 between dollar signs and table rows with ``|``; emphasis, links, templates, comments, footnote
@@ -23,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.nested import entities_udf, resolve_udf
+
 #: Names of elements that count as tags (fixed values).
 TAGS = (
     "a abbr article aside b big blockquote body br caption center cite code col dd del details div dl dt em "
@@ -39,8 +42,11 @@ ENTITY = r"&(?:[a-zA-Z][a-zA-Z0-9]{1,30}|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"
 #: Code and formulas, which are set apart before anything else is looked for.
 FENCE = r"(?s:```.*?```)"
 PRE = r"(?is:<pre\b[^>]*>.*?</pre>)"
+#: Code that is never closed goes on to the end; for the kinds it is text.
+OPEN_PRE = r"(?is:<pre\b[^>]*>.*?(?:</pre>|\z))"
 VERBATIM = r"(?s:\\begin\{(?:verbatim|lstlisting)\}.*?\\end\{(?:verbatim|lstlisting)\})"
-EQUATION = r"(?s:\\begin\{(?:equation|align|gather|displaymath)\*?\}.*?\\end\{(?:equation|align|gather|displaymath)\*?\})"
+_DISPLAYED = r"(?:equation|align|alignat|gather|multline|flalign|eqnarray|displaymath|math|IEEEeqnarray|split)\*?"
+EQUATION = rf"(?s:\\begin\{{{_DISPLAYED}\}}.*?\\end\{{{_DISPLAYED}\}}|\\\[.+?\\\]|\\\(.+?\\\))"
 TICKS = r"`[^`\n]+`"
 FORMULA = r"(?s:\$\$.+?\$\$)|(?<![\\$])\$(?![\s$])[^$\n]*?(?<![\s\\])\$(?![\d$])"
 
@@ -92,32 +98,6 @@ def kinds(text: Column) -> Column:
     return F.when(marked, found).otherwise(F.array().cast("array<string>"))
 
 
-#: Named entities and what they stand for; numbers up to 255 are computed (fixed values).
-ENTITIES = {
-    "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "mdash": "—", "ndash": "–", "hellip": "…",
-    "ldquo": "“", "rdquo": "”", "lsquo": "‘", "rsquo": "’", "times": "×", "minus": "−", "le": "≤", "ge": "≥",
-    "alpha": "α", "beta": "β", "gamma": "γ", "lambda": "λ", "sigma": "σ", "tau": "τ", "omega": "ω", "thinsp": "\u2009",
-    "deg": "°", "plusmn": "±", "middot": "·", "amp": "&",
-}
-#: Combining signs of the accent commands (fixed values).
-ACCENTS = {'"': "\u0308", "'": "\u0301", "`": "\u0300", "^": "\u0302", "~": "\u0303", "=": "\u0304", ".": "\u0307"}
-
-
-def _entities(x: Column) -> Column:
-    parts = F.split(x, "&#(?=(?:3[2-9]|[4-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5]);)")
-    decoded = F.transform(
-        parts,
-        lambda s, i: F.when(
-            i > 0,
-            F.concat(
-                F.char(F.regexp_extract(s, r"^(\d+);", 1).try_cast("int")), F.regexp_replace(s, r"^\d+;", "")
-            ),
-        ).otherwise(s),
-    )
-    x = F.array_join(decoded, "")
-    return _sub(x, *((f"&{name};", to) for name, to in ENTITIES.items()))
-
-
 def _clean_text(x: Column) -> Column:
     """Text outside code and formulas: all markup resolved to words and structure."""
     x = _sub(  # html
@@ -133,27 +113,11 @@ def _clean_text(x: Column) -> Column:
     x = _sub(  # wiki
         x,
         (r"(?mi)^#redirect\s*\[\[([^\]]*)\]\]", "$1"), (r"(?<!\w)__[A-Z]{3,}__(?!\w)", ""),
-        (r"\{\{val\|([^{}|]*)\|u=([^{}|]*)\}\}", "$1 $2"), (r"\{\{(?!\\)[^{}]*\}\}", ""),
-        (r"\[\[(?:File|Image):[^\[\]]*\|([^\[\]|]*)\]\]", "$1"), (r"(?m)^\[\[Category:[^\[\]|]*\]\]\s*$", ""),
-        (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"), (r"\[\[:?([^\[\]]*)\]\]", "$1"), (r"\[https?://\S+\s([^\]\n]+)\]", "$1"),
+        (r"\[https?://\S+\s([^\]\n]+)\]", "$1"),
         (r"(?m)^={2}[ \t]*([^=\n]*[^=\s])[ \t]*={2}[ \t]*$", "# $1"), (r"(?m)^={3,6}[ \t]*([^=\n]*[^=\s])[ \t]*={3,6}[ \t]*$", "## $1"),
         (r"'{2,5}(?=[^'\s])([^'\n]+)'{2,5}", "$1"), (r"(?m)^\{\|[^\n]*\n?", ""), (r"(?m)^\|\}", ""), (r"(?m)^\|-[^\n]*\n?", ""),
         (r"(?m)^!(?!\[)[ \t]*([^\n]*)$", "| $1 |"), (r"(?m)^\|[ \t]*([^|\n]+)$", "| $1 |"), (r"(?m)^;[ \t]*(\S[^:\n]*):[ \t]*", "- $1: "),
     )
-    inner = r"\\(?:emph|textbf|textit|texttt|textsc|textrm|text|mbox|underline|title|caption|textsf|url|mathrm|author)\*?\{([^{}]*)\}"
-    x = _sub(  # LaTeX
-        x,
-        (r"\\label\{[^{}]*\}", ""), (inner, "$1"), (inner, "$1"), (inner, "$1"),
-        (r"\\(?:section|chapter|part)\*?\{([^{}]*)\}", "\n# $1\n"), (r"\\(?:sub)+section\*?\{([^{}]*)\}", "\n## $1\n"),
-        (r"\\(?:sub)?paragraph\*?\{([^{}]*)\}", "\n## $1\n"), (r"\\footnote\{([^{}]*)\}", " ($1)"),
-        (r"\\(?:textcolor|color|href)\{[^{}]*\}\{([^{}]*)\}", "$1"), (r"\{\\(?:it|bf|em|sc|tt|rm|sl)\s+([^{}]*)\}", "$1"),
-        (r"[ ~]?\\(?:cite[a-z]*|ref|eqref|cref|autoref|pageref)\*?(?:\[[^\]]*\])*\{([^{}]*)\}", " [$1]"),
-        (r"\s*\\item\b\s*", "\n- "), (r"\s*\\begin\{tabular\}(?:\{[^{}]*\})?", ""), (r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?", ""),
-        (r"[ \t]*\\\\[ \t]*(?:\\hline)?", " |"), (r"\\l?dots\b", "…"), (r"\\[hv]space\*?\{[^{}]*\}\s*", ""),
-        (r"\\([%&_#$\{\}])", "$1"), *((rf"\\\{a}\{{?\\?([A-Za-z])\}}?", f"$1{sign}") for a, sign in ACCENTS.items()),
-        (r"(?<![\w:\\/.])\\(alpha|beta|gamma|lambda|sigma|tau|omega|kappa|pi|mu|nu|rho|phi|theta)\b", r"\$\\\\$1\$"),
-        (r"\\[A-Za-z]+\*?\{", ""), (r"(?<![\w:\\/.$])\\[A-Za-z]{2,}\*?\s*", ""),
-    )
     x = _sub(  # Markdown
         x,
         (r"!\[([^\[\]\n]*)\]\([^()\n]*\)", "$1"), (r"\[([^\[\]\n]+)\]\([^()\n]*\)", "$1"),
@@ -165,20 +129,20 @@ def _clean_text(x: Column) -> Column:
         (r"(?m)^([ \t]*)-[ \t]+\[[ xX]\][ \t]+", "$1- "), (r"(?m)^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\|[-:| \t]*$\n?", ""),
         (r"(?m)^(#{1,6})[ \t]+", "$1 "),
     )
-    return _entities(x)
+    return x
 
 
 def _clean_apart(x: Column) -> Column:
     """Code between fences, formulas as they are."""
     code = _sub(
         x,
-        (r"(?is)^<pre\b[^>]*>\s*(?:<code\b[^>]*>)?", "\n```\n"), (r"(?is)(?:</code>)?\s*</pre>$", "\n```\n"),
+        (r"(?is)^<pre\b[^>]*>\s*(?:<code\b[^>]*>)?", "\n```\n"), (r"(?is)(?:</code>)?\s*</pre>$", "\n```\n"), (r"(?is)^(\n```\n.*[^`\n])\s*\z", "$1\n```\n"),
         (r"^\\begin\{(?:verbatim|lstlisting)\}\s*", "\n```\n"), (r"\s*\\end\{(?:verbatim|lstlisting)\}$", "\n```\n"),
     )
     code = _sub(
         code,
-        (r"^\\begin\{(?:equation|align|gather|displaymath)\*?\}\s*", "\n\\$\\$"),
-        (r"\s*(?:\\label\{[^{}]*\}\s*)?\\end\{(?:equation|align|gather|displaymath)\*?\}$", "\\$\\$\n"),
+        (rf"^\\begin\{{{_DISPLAYED}\}}\s*", "\n\\$\\$"), (rf"\s*(?:\\label\{{[^{{}}]*\}}\s*)?\\end\{{{_DISPLAYED}\}}$", "\\$\\$\n"),
+        (r"(?s)^\\\[\s*(.*?)\s*\\\]$", "\\$\\$$1\\$\\$"), (r"(?s)^\\\(\s*(.*?)\s*\\\)$", "\\$$1\\$"),
     )
     return F.when(x.startswith("$") | x.startswith("`"), x).otherwise(code)
 
@@ -189,14 +153,14 @@ APART = "\ufdd0"
 
 def clean(text: Column) -> Column:
     """Clean text of a paragraph, with headings, lists, code blocks, tables and formulas kept."""
-    marked = F.regexp_replace(
-        F.replace(text, F.lit(APART), F.lit("\ufffd")),
-        F.lit(f"({FENCE}|{PRE}|{VERBATIM}|{EQUATION}|{TICKS}|{FORMULA})"), F.lit(f"{APART}$1{APART}"),
-    )
-    parts = F.transform(
-        F.split(marked, APART), lambda x, i: F.when(i % 2 == 1, _clean_apart(x)).otherwise(_clean_text(x))
-    )
-    return F.btrim(_sub(F.array_join(parts, ""), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n")), F.lit(" \t\r\n"))
+    apart = f"{FENCE}|{OPEN_PRE}|{VERBATIM}|{EQUATION}|{TICKS}|{FORMULA}"
+
+    def parted(x: Column, change, other) -> Column:  # noqa: ANN001
+        marked = F.regexp_replace(F.replace(x, F.lit(APART), F.lit("\ufffd")), F.lit(f"({apart})"), F.lit(f"{APART}$1{APART}"))
+        return F.array_join(F.transform(F.split(marked, APART), lambda s, i: F.when(i % 2 == 1, other(s)).otherwise(change(s))), "")
+
+    plain = parted(resolve_udf(apart)(text), _clean_text, _clean_apart)
+    return F.btrim(_sub(entities_udf(apart)(plain), (r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n")), F.lit(" \t\r\n"))
 
 
 def paragraphs(sections: DataFrame, id_col: str = "section_id", text_col: str = "section_content") -> DataFrame:

@@ -226,7 +226,7 @@ def nicknames(graded: DataFrame, names: DataFrame, column: str = "candidate.auth
     """
     rows = graded.select(paper_key("paper_id").alias("paper"), "pos", F.posexplode(F.slice(column, 1, first)).alias("slot", "name"))
     spelt = rows.where("paper is not null and pos is not null and name is not null").distinct()
-    given = spelt.join(names.where("length(given) > 1").select("name", "skey", "given"), "name")
+    given = spelt.join(names.where("length(given) > 1").select("name", "skey", "given").hint("merge"), "name")
     said = given.select("paper", "pos", "slot", "skey", "given").distinct()
     place = Window.partitionBy("paper", "pos", "slot", "skey")
     longest = F.max(F.struct(F.length("given").alias("n"), "given")).over(place)["given"]
@@ -245,7 +245,7 @@ def _to_the_root(parent: DataFrame, key: Sequence[str], to: str) -> DataFrame:
     parent = persist_table(parent, "roots")
     while True:
         further = parent.select(*same, F.col(last).alias(to), F.col(to).alias("next"))
-        step = persist_table(parent.join(further, [*same, to], "left"), "roots")
+        step = persist_table(parent.join(further.hint("merge"), [*same, to], "left"), "roots")
         parent = step.select(*key, F.coalesce("next", to).alias(to))
         if not step.where("next is not null").take(1):
             return parent
@@ -255,7 +255,7 @@ def with_full_names(names: DataFrame, nicks: DataFrame) -> DataFrame:
     """Names whose nicknames are written out, with the block of the full name."""
     full = F.coalesce("full", "given")
     block = F.when(F.col("block").isin("#", "?", "-"), F.col("block")).otherwise(F.left(full, F.lit(1)))
-    return names.join(nicks, "given", "left").select("name", "n", block.alias("block"), "skey", full.alias("given"))
+    return names.join(nicks.hint("merge"), "given", "left").select("name", "n", block.alias("block"), "skey", full.alias("given"))
 
 
 def _agree(a: Column, b: Column) -> Column:
@@ -281,7 +281,7 @@ def resolve(names: DataFrame) -> DataFrame:
         keys.select("block", F.col("skey").alias(k), F.struct("forms", "n", F.col("skey")).alias(w), F.col("given").alias(g))
         for k, w, g in (("skey", "w", "given"), ("other", "w_o", "given_o"))
     )
-    pairs = near.join(one, "skey").join(two, ["block", "other"])
+    pairs = near.join(one.hint("merge"), "skey").join(two.hint("merge"), ["block", "other"])
     first = F.left("skey", F.lit(1)) == F.left("other", F.lit(1))
     misspelt = (
         (F.col("distance") <= F.when(F.col("block") == "#", 1).otherwise(2))
@@ -307,7 +307,7 @@ def entities(graded: DataFrame) -> DataFrame:
     parsed = persist_table(distinct_names(graded), "names")
     names = persist_table(with_full_names(parsed, nicknames(graded, parsed)), "names")
     key = F.coalesce("root", "skey")
-    found = names.join(resolve(names), ["block", "skey"], "left").select("name", "n", F.concat_ws(" ", "block", key).alias("entity"))
+    found = names.join(resolve(names).hint("merge"), ["block", "skey"], "left").select("name", "n", F.concat_ws(" ", "block", key).alias("entity"))
     best = Window.partitionBy("entity")
     return found.withColumn("representative", F.max(F.struct("n", "name")).over(best)["name"])
 

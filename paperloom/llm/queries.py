@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import encoding, markup, matching, mixing, names, sentences, survivor
+from paperloom.llm import encoding, markup, matching, mixing, names, sentences, suffixes, survivor
 from paperloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,17 @@ def p2_clean(spark: SparkSession, sf: str) -> DataFrame:
     return markup.cleaned(table(spark, sf, "sections"))
 
 
+def p2_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages that an earlier section of the same paper has."""
+    return suffixes.runs(table(spark, sf, "sections"))
+
+
+def p2_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean paragraphs without those passages."""
+    own = suffixes.unique(table(spark, sf, "sections"))
+    return own.select("host", F.col("page").alias("section_id"), F.col("para").alias("para_pos"), markup.clean(F.col("text")).alias("clean"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """The best row of each group of two or more."""
     return survivor.fuse(table(spark, sf, "graded")).where("n_rows >= 2").select("graded_id")
@@ -93,7 +104,7 @@ def p10_sentences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (p1_found, p1_entities, p2_found, p2_clean, p3_found, p3_fused, p3_sources, p5_found, p5_matches, p8_ids, p8_decoded,
+    found = (p1_found, p1_entities, p2_found, p2_clean, p2_runs, p2_unique, p3_found, p3_fused, p3_sources, p5_found, p5_matches, p8_ids, p8_decoded,
              p9_mixture, p9_shares, p10_found, p10_sentences)
     return {f.__name__: f for f in found}
 

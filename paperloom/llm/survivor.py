@@ -3,9 +3,9 @@
 A group holds the rows of one paper and one place. Every engine makes one claim per field of a
 group, the value it gives most often however spelt (of two, the one retrieved last). How the claims of the engines agree is all that the
 model needs, so items are counted by that pattern (at most 52 for four engines) and the
-expectation-maximisation runs over the counts: accuracies of engines, the chance that an
-engine copies from another (from shared false values), discounted votes, and the value of
-highest posterior probability for each pattern. The surviving record is the row ranked first,
+expectation-maximisation runs over the counts: accuracies of engines, the share of claims that an
+engine copies from another (from shared false values), votes that copies do not add to, and the value
+of highest posterior probability for each pattern. The surviving record is the row ranked first,
 with each field at that value.
 
 Defined results
@@ -18,7 +18,7 @@ Defined results
 from __future__ import annotations
 
 from itertools import combinations
-from math import exp, log
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,55 +135,74 @@ def pattern_counts(held: DataFrame) -> dict[str, int]:
     return {r["pattern"]: r["count"] for r in counts if set(r["pattern"]) != {"-"}}
 
 
-def fit(patterns: dict[str, int], rounds: int = 12, false_values: int = 20, copying: float = 0.8) -> dict:
-    """Accuracies, chances of copying and, for each pattern, the winning engine and its posterior."""
+#: Weight, in items, of the prior belief that an engine copies a twentieth of another's claims, and that share.
+PRIOR_ITEMS, PRIOR_COPIES = 20.0, 0.05
+#: Claims that an engine may at most take from others.
+MOST_COPIED = 0.95
+
+
+def _step(patterns: dict[str, int], accuracy: list[float], copies: dict[tuple[int, int], float], false_values: int) -> tuple:
+    """One round of expectation-maximisation: accuracies, copied shares, log-likelihood, and the posterior of each pattern's values.
+
+    An engine takes its claim from an earlier one with the chance ``copies``; else it says the truth with
+    its accuracy, or one of the false values. The truth may be a value that nobody claims.
+    """
+    k = len(accuracy)
+    right, asked = [1.0] * k, [1.25] * k
+    taken, both = dict.fromkeys(copies, PRIOR_ITEMS * PRIOR_COPIES), dict.fromkeys(copies, PRIOR_ITEMS)
+    total, posts = 0.0, {}
+    for pattern, count in patterns.items():
+        claims = {i: int(v) for i, v in enumerate(pattern) if v != "-"}
+        values: list[int | None] = [*sorted(set(claims.values())), None]
+        told = []
+        for v in values:
+            like = (1 if v is not None else max(1, false_values + 2 - len(values))) / (false_values + 1)
+            shares = []
+            for i, c in claims.items():
+                before = {j: copies[j, i] for j in claims if j < i}
+                scale = min(1.0, MOST_COPIED / max(sum(before.values()), 1e-12))
+                own = (1 - scale * sum(before.values())) * (accuracy[i] if c == v else (1 - accuracy[i]) / false_values)
+                same = {j: scale * w for j, w in before.items() if claims[j] == c}
+                chance = own + sum(same.values())
+                like *= chance
+                shares.append((i, c, own / chance, {j: w / chance for j, w in same.items()}, before))
+            told.append((like, shares))
+        z = sum(x for x, _ in told)
+        total += count * log(z)
+        posts[pattern] = {v: x / z for v, (x, _) in zip(values, told, strict=True)}
+        for v, (x, shares) in zip(values, told, strict=True):
+            for i, c, own, same, before in shares:
+                right[i] += count * x / z * own * (c == v)
+                asked[i] += count * x / z * own
+                for j in before:
+                    both[j, i] += count * x / z
+                    taken[j, i] += count * x / z * same.get(j, 0.0)
+    fitted = [min(0.99, max(0.05, r / a)) for r, a in zip(right, asked, strict=True)]
+    return fitted, {p: taken[p] / both[p] for p in copies}, total, posts
+
+
+def fit(patterns: dict[str, int], rounds: int = 60, false_values: int = 20) -> dict:
+    """Accuracies, shares of copied claims and, for each pattern, the winning engine and its posterior.
+
+    Who copies and who is right can be told in more ways than one, so the rounds begin once without
+    copying and once for each pair of engines, and the likeliest outcome holds.
+    """
     k = len(ENGINES)
-    accuracy, depends = [0.8] * k, {p: 0.0 for p in combinations(range(k), 2)}
-    chosen: dict[str, tuple[int, float]] = {}
-    for _ in range(rounds):
-        right, asked = [1.0] * k, [1.25] * k
-        agree = {p: [0.0, 0.0, 0.0] for p in depends}  # expected: same and true, same and false, different
-        order = sorted(range(k), key=lambda i: -accuracy[i])
-        for pattern, count in patterns.items():
-            held = {int(v): [i for i in order if pattern[i] == v] for v in sorted(set(pattern) - {"-"})}
-            votes = {}
-            for v, who in held.items():
-                votes[v] = 0.0
-                for n, i in enumerate(who):
-                    own = log(false_values * accuracy[i] / (1 - accuracy[i]))
-                    for j in who[:n]:
-                        own *= 1 - copying * depends[min(i, j), max(i, j)]
-                    votes[v] += own
-            top = max(votes.values())
-            z = sum(exp(x - top) for x in votes.values()) + max(0, false_values + 1 - len(votes)) * exp(-top)
-            post = {v: exp(x - top) / z for v, x in votes.items()}
-            best = max(post, key=lambda v: (post[v], -v))
-            chosen[pattern] = (best, post[best])
-            for v, who in held.items():
-                for i in who:
-                    right[i] += count * post[v]
-                    asked[i] += count
-            for i, j in depends:
-                if "-" in (pattern[i], pattern[j]):
-                    continue
-                if pattern[i] == pattern[j]:
-                    agree[i, j][0] += count * post[int(pattern[i])]
-                    agree[i, j][1] += count * (1 - post[int(pattern[i])])
-                else:
-                    agree[i, j][2] += count
-        accuracy = [min(0.99, max(0.05, r / a)) for r, a in zip(right, asked, strict=True)]
-        for (i, j), (true, false, other) in agree.items():
-            a = (accuracy[i] + accuracy[j]) / 2
-            same_true, same_false = a * a, (1 - a) ** 2 / false_values
-            differ = max(1e-9, 1 - same_true - same_false)
-            alone = true * log(same_true) + false * log(same_false) + other * log(differ)
-            copied = (
-                true * log(a * copying + same_true * (1 - copying))
-                + false * log((1 - a) * copying + same_false * (1 - copying))
-                + other * log(differ * (1 - copying))
-            )
-            depends[i, j] = 1 / (1 + exp(min(700, max(-700, alone - copied))))
-    return {"accuracy": accuracy, "depends": depends, "chosen": chosen}
+    pairs = list(combinations(range(k), 2))
+    best: tuple = ()
+    for start in ({}, *({p: 0.8} for p in pairs)):
+        accuracy, copies = [0.8] * k, {p: start.get(p, PRIOR_COPIES) for p in pairs}
+        for _ in range(rounds):
+            accuracy, copies, likely, posts = _step(patterns, accuracy, copies, false_values)
+        if patterns and (not best or likely > best[2] + 1e-6):
+            best = (accuracy, copies, likely, posts)
+    if not best:
+        best = ([0.8] * k, dict.fromkeys(pairs, PRIOR_COPIES), 0.0, {})
+    chosen = {}
+    for pattern, post in best[3].items():
+        v = max((v for v in post if v is not None), key=lambda v: (post[v], -v))
+        chosen[pattern] = (v, post[v])
+    return {"accuracy": best[0], "depends": best[1], "chosen": chosen}
 
 
 def fuse(graded: DataFrame) -> DataFrame:
@@ -207,7 +226,7 @@ def fuse(graded: DataFrame) -> DataFrame:
 
 
 def source_model(graded: DataFrame) -> DataFrame:
-    """The fitted accuracy of each engine and, per pair, the chance that one copies the other."""
+    """The fitted accuracy of each engine and, per pair, the share of the second one's claims that are copies of the first one's."""
     model = fit(pattern_counts(groups(graded)))
     rows = [(ENGINES[i], None, a) for i, a in enumerate(model["accuracy"])]
     rows += [(ENGINES[i], ENGINES[j], d) for (i, j), d in model["depends"].items()]

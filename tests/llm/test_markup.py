@@ -18,6 +18,10 @@ CASES = [
     (r"a \emph{b \textbf{c}} d", {"latex"}, "a b c d"), (r"\section{Head} t", {"latex"}, "# Head\n t"), (r"23\% off", {"latex"}, "23% off"),
     ("\\begin{itemize}\n\\item x\n\\item y\n\\end{itemize}", {"latex"}, "- x\n- y"), ("\\begin{equation}\nx = 1 \\label{e}\n\\end{equation}", {"latex"}, "$$x = 1$$"),
     (r"as \cite{k1} shows", {"latex"}, "as [k1] shows"),
+    ("a &#8212; b&#x2014;c &eacute;t&eacute; &copy; 1", {"html"}, "a — b—c été © 1"), (r"rate \frac{a}{b} holds", {"latex"}, r"rate $\frac{a}{b}$ holds"),
+    (r"\section{A {\bf b} c}", {"latex"}, "# A b c"), (r"\emph{\textbf{\textit{\textsc{d}}}} e", {"latex"}, "d e"),
+    ("<pre>x = 1\ny = 2", {"html"}, "```\nx = 1\ny = 2\n```"), ("see [[A|b [[c]]]] d", {"wiki"}, "see b c d"),
+    (r"of \delta and \Omega in \LaTeX", {"latex"}, r"of $\delta$ and $\Omega$ in LaTeX"), (r"so \[ x_{1} \] holds", {"latex"}, "so $$x_{1}$$ holds"),
 ]
 PLAIN = [
     "Here a < b and c > 9 hold.", "(p<0.04)", "A grid of 74 * 8 points * 2", "The flag max_cluster_size is off.", "Files sit in C:\\data\\prior.", "C# 6 is slower",
