@@ -18,6 +18,8 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import PREPOSITIONS
+
 PAPER = (
     "status string, error string, title string, abstract string, acknowledge string, author array<string>, "
     "blocks array<struct<path:array<int>,level:int,title:string,kind:string,text:string>>, "
@@ -27,8 +29,8 @@ PAPER = (
 )
 #: Smaller documents hold nothing (fixed value).
 LEAST_BYTES = 100
-#: Notes beyond this number are left in the text (fixed value).
-MOST_NOTES = 5
+#: Citations of a note beyond which a soft one stays a reference (fixed value).
+MOST_CITED = 2
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 
@@ -91,6 +93,7 @@ class Paper:
     labels: dict[str, tuple[str, str]] = field(default_factory=dict)
     media: dict[str, tuple[str, str, str]] = field(default_factory=dict)
     counts: Counter = field(default_factory=Counter)
+    notes: dict[str, tuple[bool, str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.parent = {c: p for p in self.tree.iter() for c in p}
@@ -199,11 +202,105 @@ def collect_bibliography(paper: Paper) -> None:
             tex = max((len(re.findall(r"\\[a-zA-Z]+|\w", m)) for m in re.findall(r"\$([^$]*)\$", text)), default=0)
             n = len(paper.references)
             paper.references.append({"pos": n, "key": key, "tag": tag, "text": text, "is_note": inner or tex > 15})
+            if inner or tex > 15:
+                paper.notes |= {k: (inner, text) for k in {key, item.get("id", "")} - {""}}
             for k in {key, item.get("id", "")} - {""}:
                 paper.labels[k] = ("Reference", str(n))
         remove(paper, bib)
 
 
+def _cited_in(e: ET.Element) -> list[tuple[ET.Element, list[str]]]:
+    """The references of a citation: each element with its keys."""
+    named = ((b, b.get("bibrefs") or (b.get("href", "")[1:] if b.get("href", "").startswith("#") else "")) for b in e.iter())
+    return [(b, keys) for b, text in named if (keys := [k.strip() for k in text.split(",") if k.strip()])]
+
+
+def put_notes_back(paper: Paper) -> list[str]:
+    """Notes among the references written out where they are cited, as ``(Note: …)``.
+
+    A soft note, one without a citation of its own, stays a reference if it is cited more than twice.
+    """
+    cites = find(paper.tree, "cite")
+    count = Counter(k for c in cites for _, keys in _cited_in(c) for k in keys)
+    back: list[str] = []
+    for c in cites:
+        for b, keys in _cited_in(c):
+            noted = [k for k in keys if k in paper.notes and (paper.notes[k][0] or count[k] <= MOST_CITED)]
+            for key in noted:
+                back.append(key)
+                put_before(paper, c, f" (Note: {paper.notes[key][1]})")
+            left = [k for k in keys if k not in noted]
+            if noted and left:
+                b.set("bibrefs", ",".join(left))
+            elif noted and b is not c:
+                remove(paper, b)
+            elif noted:
+                b.set("bibrefs", "")
+        if back and not _cited_in(c) and not raw_text(c).strip(" ,;[]()"):
+            remove(paper, c)
+    return back
+
+
+def put_before(paper: Paper, e: ET.Element, text: str) -> None:
+    """Puts a text right before an element."""
+    up = paper.parent[e]
+    i = list(up).index(e)
+    if i:
+        up[i - 1].tail = (up[i - 1].tail or "") + text
+    else:
+        up.text = (up.text or "") + text
+
+
+def collect_leftovers(paper: Paper) -> None:
+    """Figures and tables that no number or caption names: kept as extra_figure_n and extra_table_n, empty ones dropped."""
+    for kind, tag in (("Figure", "figure"), ("Table", "table")):
+        n = 0
+        for e in [x for x in paper.tree.iter() if x.tag == tag and x is not paper.tree]:
+            if paper.parent.get(e) is None or e not in list(paper.parent[e]) or e.get("class", "").startswith("ltx_eqn"):
+                continue
+            if raw_text(e):
+                key = f"extra_{tag}_{n}"
+                n += 1
+                paper.media[key] = (kind, "", table_text(e) or raw_text(e))
+                paper.labels[key] = (kind, key)
+            remove(paper, e)
+
+
+def unique_ids(text: str) -> str:
+    """XML in which ids that come again end in ``_n``."""
+    tree, seen, again = ET.fromstring(text), set(), Counter()
+    for e in tree.iter():
+        own = e.get("id")
+        if own and own in seen:
+            again[own] += 1
+            e.set("id", f"{own}_{again[own]}")
+        elif own:
+            seen.add(own)
+    return ET.tostring(tree, encoding="unicode")
+
+
+def whole_references(labels: dict[str, dict[str, str]], by_count: bool = False) -> dict[str, list[tuple[str, str]]]:
+    """Labels by kind turned round: for each key its kinds with their label, or its place among those of the kind."""
+    out: dict[str, list[tuple[str, str]]] = {}
+    for kind, held in labels.items():
+        for n, (key, label) in enumerate(held.items()):
+            out.setdefault(key, []).append((kind, str(n) if by_count else label))
+    return out
+
+
+def side_sections(paper: Paper, name: str) -> list[dict]:
+    """Appendix or index sections, taken out: title and paragraphs of each."""
+    out = []
+    for e in find(paper.tree, name):
+        if paper.parent.get(e) is None:
+            continue
+        head = next((c for c in e if is_a(c, "title") or re.fullmatch(r"h[1-6]", c.tag)), None)
+        made = [b["text"] for b in blocks(e) if b["kind"] != "heading"]
+        out.append({"title": raw_text(head) if head is not None else None, "paragraph": made})
+        remove(paper, e)
+    return out
+
+
 def table_text(e: ET.Element) -> str:
     """A table as text rows, the first one as its head; a table in a cell is written in one line."""
     rows = []
@@ -276,7 +373,7 @@ def cited_as(left: str, label: str, right: str) -> str:
     return out + ("." if not after or after[0].isupper() else "")
 
 
-_AFTER = frozenset("about above across after against along among around as at before behind below beneath beside between beyond by during except for from in inside into like near of off on onto out outside over past since through throughout to toward under until up upon with within without".split())
+_AFTER = frozenset(PREPOSITIONS)
 #: Kinds of labels in order of precedence, with the word written (fixed values).
 _WORD = {"Reference": "Ref", "Equation": "Equation", "Figure": "Figure", "Table": "Table", "Section": "Section", "Item": "Item", "Theorem": "Theorem", "Float": "Float"}
 
@@ -390,7 +487,9 @@ def extract(text: str | None, paper_id: str, html: bool) -> dict:
     try:
         tree = parse_html(text) if html else parse_xml(text)
     except ET.ParseError as e:
-        return {"status": "ParseError", "error": str(e)}
+        tree = parse_html(text)  # reads what it can (A9)
+        if not len(tree):
+            return {"status": "ParseError", "error": str(e)}
     if html:
         article = next(iter(find(tree, "article")), None)
         if article is None:
@@ -411,8 +510,10 @@ def _extracted(paper: Paper) -> dict:
     for e in find(paper.tree, "authors", "creator"):
         remove(paper, e)
     collect_bibliography(paper)
+    put_notes_back(paper)
     collect_equations(paper)
     collect_media(paper)
+    collect_leftovers(paper)
     collect_labels(paper)
     cited, missing = write_references(paper)
     head = next((x for x in paper.tree if is_a(x, "title") or x.tag == "h1"), None)
@@ -421,8 +522,7 @@ def _extracted(paper: Paper) -> dict:
         remove(paper, head)
     abstract, thanks = take(paper, "abstract"), take(paper, "acknowledgements")
     made = list(blocks(paper.tree))
-    shown = notes if len(notes) <= MOST_NOTES else []
-    made += [{"path": [], "level": 0, "title": None, "kind": "note", "text": n} for n in shown]
+    made += [{"path": [], "level": 0, "title": None, "kind": "note", "text": n} for n in notes]
     return {
         "title": title, "abstract": abstract, "acknowledge": thanks, "author": people, "blocks": made, "references": paper.references,
         "labels": {k: {"type": t, "label": v} for k, (t, v) in paper.labels.items()},

@@ -24,8 +24,8 @@ def norm(text: str | None) -> str:
 
 
 def ratio(a: str, b: str) -> int:
-    """Likeness of two strings from 0 to 100; of two empty ones 0."""
-    return round(100 * SequenceMatcher(None, a, b, autojunk=False).ratio()) if a and b else 0
+    """Likeness of two strings from 0 to 100, as the standard library tells it; of two empty ones 0."""
+    return round(100 * SequenceMatcher(None, a, b).ratio()) if a and b else 0
 
 
 def _number(text: str | None) -> str | None:

@@ -9,16 +9,17 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Command names kept in a preamble and packages that every document gets (fixed values).
+#: Beginnings of the commands kept in a preamble (fixed values).
 KEPT_COMMANDS = (
-    "documentclass documentstyle usepackage input include newcommand renewcommand providecommand newenvironment "
-    "renewenvironment def gdef edef let newtheorem DeclareMathOperator title author date begin end bibliography"
+    "input def Declare define abstract newcommand let usepackage documentstyle eqnobysec newenvironment newtheorem "
+    "providecommand subtitle renewcommand addbibresource bibliography documentclass title global"
 ).split()
-BASE_PACKAGES = ("amsmath", "amssymb", "amsfonts", "graphicx", "hyperref")
+#: Commands that a class gets in place of one that cannot be compiled (fixed value).
+PLAIN_CLASS = "\\documentclass[amsmath,amssymb,color,hyperref,cite]{revtex4-1}"
 #: Old packages and their successors (fixed values).
 RENAMED = {"amssym": "amssymb", "subeqnar": "subeqnarray"}
 #: Marks of drawings in the source (fixed values).
-DRAWING_FLAGS = ("\\begin{tikzpicture}", "\\tikz", "\\usepackage{tikz}", "\\begin{pspicture}", "\\begin{picture}", "\\pgf")
+DRAWING_FLAGS = ("tikz-cd", "sty_jtana_tikzit", "auxTikzDefs", "tikzit", "tikz-timing", "tikzpicture")
 
 
 def file_class(name: Column) -> Column:
@@ -151,10 +152,10 @@ def chunks(block: str) -> Iterator[tuple[str, str]]:
 
 
 def comment_out(block: str, kept: frozenset[str], reverse: bool = False) -> str:
-    """A preamble whose commands not in ``kept`` (or in it, if ``reverse``) are comments."""
+    """A preamble whose commands that don't begin as one in ``kept`` (or do, if ``reverse``) are comments."""
     out = []
     for command, source in chunks(block):
-        drop = command and ((command in kept) if reverse else (command not in kept))
+        drop = command and command.startswith(tuple(kept)) == reverse
         out.append("\n".join("%" + x for x in source.split("\n")) + "\n" if drop else source)
     return "".join(out)
 
@@ -184,26 +185,74 @@ def captions_only(text: str, kinds: Sequence[str]) -> str:
     return regex.sub(rf"(?s)\\begin\{{({'|'.join(kinds)})\*?\}}.*?\\end\{{\1\*?\}}", one, text)
 
 
+def split_preamble(block: str, kept: frozenset[str] = frozenset(KEPT_COMMANDS)) -> tuple[str, str]:
+    """A preamble parted into what is kept and the commands taken out."""
+    parts = [(command and not command.startswith(tuple(kept)), source) for command, source in chunks(block)]
+    return "".join(x for out, x in parts if not out), "\n".join(x for out, x in parts if out)
+
+
+def without_affiliations(text: str) -> str:
+    """Commands between the start of the document and its first section or abstract as comments."""
+    head, begin, rest = text.partition("\\begin{document}")
+    m = regex.search(r"\\section\b|\\begin\{abstract\}|\\abstract\b", rest)
+    if not begin or not m:
+        return text
+    return head + begin + comment_out(rest[: m.start()], frozenset(KEPT_COMMANDS)) + rest[m.start() :]
+
+
+def plain_class(text: str) -> str:
+    """A document of a class that compiles anywhere, its bibliography named by the plain command."""
+    text = regex.sub(r"\\document(?:class|style)(?:\[[^\]]*\])?\{[^}]*\}", lambda m: f"% {m[0]}\n{PLAIN_CLASS}", text)
+    named = regex.findall(r"\\addbibresource\{(.+?)\.bib\}", text)
+    text = regex.sub(r"\\addbibresource\{.+?\.bib\}", "", text)
+    if named:
+        text = text.replace("\\end{document}", f"\\bibliography{{{named[-1]}}}\n\\end{{document}}", 1)
+    return regex.sub(r"\\(?:printbibliography|appendixpage).*", "", text)
+
+
+#: Modes: whether the class is replaced, and whether all packages are comments rather than the banned ones alone (fixed values).
+MODES = {"clean": (False, False), "revtex": (True, False), "nopackage": (True, True), "clean_beta": (False, False), "revtex_beta": (True, False)}
+
+
 def standardised(text: str, mode: str, banned: frozenset[str]) -> tuple[str, list[str]]:
-    """A source as a mode wants it, with the packages removed.
+    """A source as a mode of :data:`MODES` wants it, with the packages removed.
 
-    Modes: clean (comments go), nopackage (banned packages go), nofigure and notable (bodies
-    become comments), preamble (only kept commands), revtex (that class), all of them joined by +.
+    Comments and preamble commands go, figures and tables keep caption and label only. Banned packages
+    go, or all of them become comments; a class that needs biblatex is replaced in every mode.
     """
-    wanted, removed = set(mode.split("+")), []
+    force, bare = MODES[mode]
     text = regex.sub(r"(?m)(?<!\\)%.*$", "", text)
-    if "nopackage" in wanted:
-        text, removed = without_packages(text, banned)
-    if "nofigure" in wanted:
-        text = captions_only(text, ["figure", "wrapfigure"])
-    if "notable" in wanted:
-        text = captions_only(text, ["table"])
     head, begin, body = text.partition("\\begin{document}")
-    if "preamble" in wanted and begin:
-        head = comment_out(head, frozenset(KEPT_COMMANDS))
-    if "revtex" in wanted:
-        head = regex.sub(r"\\documentclass(\[[^\]]*\])?\{[^}]*\}", r"\\documentclass{revtex4-1}", head)
-    return head + begin + body, removed
+    text = (comment_out(head, frozenset(KEPT_COMMANDS)) if begin else head) + begin + body
+    removed: list[str] = []
+    if bare:
+        text = regex.sub(r"(?<!% )\\usepackage(?:\[[^\]]*\])?\{[^}]*\}", lambda m: f"% {m[0]}", text)
+    else:
+        text, removed = without_packages(text, banned)
+    if force or "biblatex" in removed:
+        text = plain_class(text)
+    if "CJK" in removed:
+        text = regex.sub(r"\\(?:begin|end)\{CJK\*?\}", lambda m: f"% {m[0]}", text)
+    text = regex.sub(r"\\(?:begin|end)\{opening\}", lambda m: f"% {m[0]}", text)
+    text = without_affiliations(text)
+    return captions_only(captions_only(text, ["figure", "wrapfigure"]), ["table"]), removed
+
+
+def seek_class(text: Column) -> Column:
+    """Options and name of the document class (the class mode of E10)."""
+    pattern = r"\\documentclass\[(.*?)\]\{(.*?)\}"
+    options = F.transform(F.split(F.regexp_extract(text, pattern, 1), ","), lambda x: F.trim(x))
+    return F.struct(options.alias("options"), F.trim(F.regexp_extract(text, pattern, 2)).alias("name"))
+
+
+def repointed(text: Column, root: Column) -> Column:
+    """A source whose bibliography command names its own root; put before the end where there is none (H7)."""
+    own = F.concat(F.lit("\\bibliography{"), root, F.lit("}"))
+    named, end = r"\\bibliography\{[^}]*\}", r"\\end\{document\}"
+    safe = F.concat(F.lit("\\\\bibliography\\{"), F.regexp_replace(root, r"([\\$])", r"\\$1"), F.lit("\\}"))
+    put = F.regexp_replace(text, F.lit(named), safe)
+    added = F.concat(F.substring_index(text, "\\end{document}", 1), own, F.lit("\n\\end{document}"))
+    return F.when(text.rlike(named), put).when(text.rlike(end), added).otherwise(text)
 
 
 def standardise_udf(mode: str, banned: Iterable[str] = ()):  # noqa: ANN201

@@ -25,9 +25,9 @@ KINDS_BEFORE = {
 }
 #: Single words after which a citation reads as part of the sentence (fixed values).
 PREPOSITIONS = (
-    "about above across after against along amid among around as at before behind below beneath beside between beyond by "
-    "concerning despite down during except from for in inside into like near next of off on onto out outside over past "
-    "since through throughout to toward under underneath until up upon with within without"
+    "at in on for with and see or nor about as by over against along among around before behind below beneath beside "
+    "between beyond but concerning despite down during except inside into like near next off onto out outside over past "
+    "since through throughout toward under underneath until up upon with within without"
 ).split()
 
 

@@ -18,26 +18,23 @@ def is_citation(c: Column) -> Column:
     return t.rlike(r"^\p{Lu}") & (words(t) > 10) & ~F.lower(t).startswith("doi")
 
 
+#: Parts citations while a text is folded; the sign never stands in text.
+_PARTED = "\x1e"
+
+
 def split_citations(c: Column) -> Column:
     """The citations of a text that semicolons part.
 
-    A piece that can stand as a citation opens one; a piece that can't is glued to the one before.
-    What stands before the first citation is glued to it, so nothing is lost.
+    A piece that can stand as a citation opens one, a piece that can't is glued to what is open, with a
+    semicolon after it. What is open at the end is left out unless it can stand as a citation.
     """
-    pieces = F.filter(F.transform(F.split(F.btrim(c, F.lit(_STRIP)), ";"), lambda x: F.btrim(x, F.lit(" .:,!?"))), lambda x: x != "")
-    none = F.array().cast("array<string>")
-    last = F.aggregate(
-        pieces,
-        F.struct(none.alias("done"), F.lit("").alias("open"), F.lit(False).alias("full")),
-        lambda acc, x: F.when(
-            is_citation(x) & acc["full"],
-            F.struct(F.concat(acc["done"], F.array(acc["open"])).alias("done"), x.alias("open"), F.lit(True).alias("full")),
-        ).otherwise(F.struct(
-            acc["done"].alias("done"), F.concat(acc["open"], F.when(acc["open"] == "", F.lit("")).otherwise(F.lit("; ")), x).alias("open"),
-            (acc["full"] | is_citation(x)).alias("full"),
-        )),
+    pieces = F.transform(F.split(F.btrim(c, F.lit(" .;:,")), ";"), lambda x: F.btrim(x, F.lit(_STRIP)))
+    folded = F.aggregate(
+        pieces, F.lit(""),
+        lambda acc, x: F.when(is_citation(x), F.when(acc == "", x).otherwise(F.concat(acc, F.lit(_PARTED), x))).otherwise(F.concat(acc, x, F.lit(";"))),
     )
-    return F.when(last["open"] == "", last["done"]).otherwise(F.concat(last["done"], F.array(last["open"])))
+    found = F.get(F.transform(F.array(folded), lambda f: F.split(f, _PARTED)), F.lit(0))
+    return F.filter(found, lambda x, i: (x != "") & ((i < F.size(found) - 1) | is_citation(x)))
 
 
 def split_rows(refs: DataFrame, text: str = "text") -> DataFrame:

@@ -201,10 +201,9 @@ def paper_tables(papers: DataFrame, changes: DataFrame) -> dict[str, DataFrame]:
 
 
 def missing_entries(papers: DataFrame, changes: DataFrame) -> DataFrame:
-    """Marks whose entry is not there: row_id, entry_table, entry_key, once per row and table."""
-    tables = paper_tables(papers, changes)
-    found = cascade({t: tables[t] for t in ("entries", "marks")}, PAPER_KEYS[:1], max_levels=0)["marks"]
-    return found.select(*ON_ENTRY).distinct()
+    """Marks whose entry is not there, the direct orphans of the cascade: row_id, entry_table, entry_key, once per row and table."""
+    found = cascade(paper_tables(papers, changes), PAPER_KEYS)["marks"]
+    return found.where("orphan_level = 0").select(*ON_ENTRY).distinct()
 
 
 def orphan_report(papers: DataFrame, changes: DataFrame) -> DataFrame:

@@ -14,8 +14,10 @@ Defined results
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import pandas as pd
 import regex
@@ -38,19 +40,39 @@ class Dialect:
     nesting: bool = True
 
 
-def spans(text: str, d: Dialect = Dialect()) -> list[tuple[int, int, int]]:
-    """Stretches between delimiters outside quotes and brackets: (start, end, start of the next)."""
+@dataclass(frozen=True)
+class Run:
+    """Labels that part items by themselves: how the first is written, and the values that follow in order."""
+
+    opener: str
+    closer: str
+    values: Iterator[str]
+
+
+def spans(text: str, d: Dialect = Dialect(), run: Run | None = None) -> list[tuple[int, int, int]]:
+    """Stretches between delimiters outside quotes and brackets: (start, end, start of the next). Linear in the text.
+
+    With ``run`` the labels of it, in their order and after a blank or delimiter, part items instead.
+    """
     out: list[tuple[int, int, int]] = []
     closers: list[str] = []
     begin = i = 0
     n = len(text)
     fresh = True  # nothing but blanks since the last delimiter
+    pairs = _pairs(text) if d.nesting else {}
+    closes = _Closing(text, d.quote)
+    label = _next_label(run)
     while i < n:
         c = text[i]
         if c == d.escape and i + 1 < n and text[i + 1] in d.quote + d.delimiters:
             i += 2
             fresh = False
             continue
+        if label and not closers and c == label[0] and i and (text[i - 1].isspace() or text[i - 1] in ";,|") and _labelled(text, i, label):
+            out.append((begin, i, i))
+            begin, fresh, i = i, False, i + len(label)
+            label = _next_label(run)
+            continue
         if closers and c == closers[-1]:
             if c == d.quote and text[i + 1 : i + 2] == c:
                 i += 2  # a doubled quote stands for one
@@ -58,13 +80,13 @@ def spans(text: str, d: Dialect = Dialect()) -> list[tuple[int, int, int]]:
             closers.pop()
         elif c == d.quote and c not in closers:
             before = text[i - 1] if i else " "
-            if (fresh or before.isspace() or before in "([") and _closes(text, i, d.quote):
+            if (fresh or before.isspace() or before in "([") and closes.after(i):
                 closers.append(c)
-        elif not (closers and closers[-1] == d.quote) and c in QUOTES and text.find(QUOTES[c], i + 1) >= 0:
+        elif not (closers and closers[-1] == d.quote) and c in QUOTES and text.rfind(QUOTES[c]) > i:
             closers.append(QUOTES[c])
-        elif not (closers and closers[-1] == d.quote) and d.nesting and c in BRACKETS and _balanced(text, i):
+        elif not (closers and closers[-1] == d.quote) and c in BRACKETS and i in pairs:
             closers.append(BRACKETS[c])
-        elif not closers and (
+        elif run is None and not closers and (
             c in d.delimiters
             or (c in d.spaced and text[i - 1 : i].isspace() and text[i + 1 : i + 2].isspace())
             or (c == "," and _between_quoted(text, begin, i, d.quote))
@@ -80,30 +102,68 @@ def spans(text: str, d: Dialect = Dialect()) -> list[tuple[int, int, int]]:
     return out
 
 
-def _closes(text: str, at: int, quote: str) -> bool:
-    """Whether the quote opened at ``at`` is closed by a sign before a blank, a delimiter or the end."""
-    return regex.compile(rf"(?:[^{quote}]|{quote}{quote})*+{quote}(?=[\s;|/•,.)\]]|$)").match(text, at + 1) is not None
+def _next_label(run: Run | None) -> str:
+    value = next(run.values, "") if run else ""
+    return run.opener + value + run.closer if value else ""
 
 
-def _between_quoted(text: str, begin: int, at: int, quote: str) -> bool:
-    """Whether the comma at ``at`` stands between two items of which each is quoted as a whole."""
-    left, right = text[begin:at].strip(), text[at + 1 : at + 60].lstrip()
-    return len(left) > 1 and left[0] == left[-1] == quote and right[:1] == quote
+_TEXT_AFTER = regex.compile(r"\s+(?=\S)")
+
 
+def _labelled(text: str, at: int, label: str) -> bool:
+    return text.startswith(label, at) and _TEXT_AFTER.match(text, at + len(label)) is not None
 
-def _balanced(text: str, at: int, reach: int = 400) -> bool:
-    """Whether the bracket at ``at`` closes within a line and ``reach`` signs."""
-    opener, closer, depth = text[at], BRACKETS[text[at]], 0
-    for i in range(at, min(len(text), at + reach)):
-        if text[i] == opener:
-            depth += 1
-        elif text[i] == closer:
-            depth -= 1
-            if not depth:
-                return True
-        elif text[i] == "\n":
-            return False
-    return False
+
+class _Closing:
+    """Which quotes are closed: by the next quote that is not doubled, if a blank, a delimiter or the end follows it."""
+
+    def __init__(self, text: str, quote: str) -> None:
+        self.text, self.quote = text, quote
+        self.end: dict[int, int] = {}  # of the run of quotes that a place lies in
+        self.odd: list[int] = []  # ends of the runs of odd length
+        for m in regex.finditer(f"{regex.escape(quote)}+", text):
+            self.end |= dict.fromkeys(range(m.start(), m.end()), m.end())
+            if (m.end() - m.start()) % 2:
+                self.odd.append(m.end())
+
+    def after(self, at: int) -> bool:
+        rest = self.end.get(at + 1, at + 1) - (at + 1)
+        if rest % 2:
+            stop = at + 1 + rest
+        else:
+            k = bisect_right(self.odd, at + 1 + rest)
+            if k == len(self.odd):
+                return False
+            stop = self.odd[k]
+        return stop == len(self.text) or self.text[stop].isspace() or self.text[stop] in ";|/•,.)]"
+
+
+def _between_quoted(text: str, begin: int, at: int, quote: str) -> bool:
+    """Whether the comma at ``at`` stands between two items of which each is quoted as a whole."""
+    nxt = _NOT_BLANK.search(text, at + 1)
+    if not nxt or nxt[0] != quote:
+        return False
+    left = text[begin:at].strip()
+    return len(left) > 1 and left[0] == left[-1] == quote
+
+
+_NOT_BLANK = regex.compile(r"\S")
+
+
+def _pairs(text: str) -> dict[int, int]:
+    """The places of brackets that close within their line, each with that of its closing sign."""
+    out: dict[int, int] = {}
+    held: dict[str, list[int]] = {c: [] for c in BRACKETS}
+    openers = {closer: opener for opener, closer in BRACKETS.items()}
+    for i, c in enumerate(text):
+        if c in held:
+            held[c].append(i)
+        elif c in openers and held[openers[c]]:
+            out[held[openers[c]].pop()] = i
+        elif c == "\n":
+            for stack in held.values():
+                stack.clear()
+    return out
 
 
 def unquote(item: str, quote: str = '"') -> str:
@@ -115,7 +175,7 @@ def unquote(item: str, quote: str = '"') -> str:
 
 #: Labels of items: bullets, numbers, letters and small roman numbers, bracketed or with a sign after.
 LABEL = regex.compile(
-    r"\s*(?:[•·▪◦‣*–—-]\s+|[•·▪◦‣]\s*|[\[(](?:\d{1,3}|[a-z]|[ivx]{1,5})[\])][.:]?\s*|(?:\d{1,3}|[a-z]|[ivx]{1,5})[.)]\s+)",
+    r"\s*(?:[•·▪◦‣*–—-]\s+|[•·▪◦‣]\s*|\[\d+\][.:]?\s*|[\[(](?:\d{1,3}|[a-z]|[ivxlc]+)[\])][.:]?\s*|(?:\d{1,3}|[a-z]|[ivx]{1,5})[.)]\s+)",
 )
 YEAR = regex.compile(r"(?<![\d.:])(?:1[89]|20)\d\d(?![\d])(?!\s*[-–]\s*\d)|\bin press\b|\bn\.\s?d\.", regex.I)
 _WORD = r"(?:\p{Lu}|O['’]|\\['\"`^~=.uvHckr]\{?\p{L})[\p{L}\p{M}'’\\\"`^~{}-]*"
@@ -132,33 +192,33 @@ AUTHOR = regex.compile(
 
 
 #: A label at the start of a field, in one of the forms that can also part items by itself.
-RUN_LABEL = regex.compile(r"\s*([\[(]?)(\d{1,3}|[A-Za-z]|[ivx]{1,5})([\])]|(?<=\d)\.)[.:]?\s+(?=\S)")
+RUN_LABEL = regex.compile(r"\s*([\[(]?)((?<=\[)\d+|\d{1,3}|[A-Za-z]|[ivx]{1,5})([\])]|(?<=\d)\.)[.:]?\s+(?=\S)")
 
 
 def _roman(n: int) -> str:
-    return "x" * (n // 10) + ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")[n % 10]
+    signs = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
+    out = ""
+    for value, sign in signs:
+        out += sign * (n // value)
+        n %= value
+    return out
 
 
-def label_cuts(raw: str) -> list[int]:
-    """Starts of the labels after the first, if the field opens with a label and goes on in its order."""
+def label_run(raw: str) -> Run | None:
+    """The labels after the first, in their order, if the field opens with one."""
     first = RUN_LABEL.match(raw)
     if not first:
-        return []
+        return None
     opener, value, closer = first.groups()
     if value.isdigit():
-        names = (str(int(value) + k) for k in range(1, 999))
+        values = map(str, count(int(value) + 1))
     elif value in ("i", "I"):
-        names = (_roman(k) if value == "i" else _roman(k).upper() for k in range(2, 40))
+        values = (_roman(k) if value == "i" else _roman(k).upper() for k in count(2))
+    elif value in ("a", "A"):
+        values = (chr(ord(value) + k) for k in range(1, 26))
     else:
-        names = (chr(ord(value[0]) + k) for k in range(1, 26)) if value in "aA" else iter(())
-    cuts, at = [], first.end()
-    for name in names:
-        m = regex.compile(r"(?<=[\s;,|])" + regex.escape(opener + name + closer) + r"\s+(?=\S)").search(raw, at)
-        if not m:
-            break
-        cuts.append(m.start())
-        at = m.end()
-    return cuts
+        return None
+    return Run(opener, closer, values)
 
 
 #: Blanks and delimiters that may stand at the ends of an item.
@@ -188,11 +248,10 @@ def citations(raw: str | None) -> list[str]:
     items: list[str] = []
     begin: int | None = None
     cuts = spans(raw)
-    labels = label_cuts(raw)
-    if labels:
-        edges = [0, *labels, len(raw)]
-        if all(YEAR.search(raw[a:b]) and _begins(raw[a:b]) for a, b in zip(edges, edges[1:])):
-            cuts = [(a, b, b) for a, b in zip(edges, edges[1:])]
+    run = label_run(raw)
+    labelled = spans(raw, run=run) if run else []
+    if len(labelled) > 1 and all(YEAR.search(raw[a:b]) and _begins(raw[a:b]) for a, b, _ in labelled):
+        cuts = labelled
     for k, (start, end, _) in enumerate(cuts):
         if begin is None:
             begin = start

@@ -151,10 +151,29 @@ def shred_rejects(df: DataFrame, id_col: str = "record_id", line_col: str = "lin
 
 
 def objects(nodes: DataFrame) -> DataFrame:
-    """Object nodes with the path of the nearest enclosing object (empty at the top)."""
-    return nodes.where("kind = 'object'").select(
-        "record_id", "node_path", F.col("object_path").alias("parent_path"), "label"
+    """Object nodes joined with the object around them (empty at the top): record_id, node_path, parent_path, label, depth.
+
+    The adjacency table is joined with itself on (record, path): a child whose parent is no object of
+    the table would have no row. ``nodes`` is read from storage.
+    """
+    held = nodes.where("kind = 'object'")
+    top = held.where("object_path = ''").select("record_id", "node_path", F.lit("").alias("parent_path"), "label")
+    parents = held.select("record_id", F.col("node_path").alias("parent_path")).hint("merge")
+    inner = held.where("object_path <> ''").select("record_id", F.col("object_path").alias("parent_path"), "node_path", "label")
+    linked = inner.join(parents, ["record_id", "parent_path"]).select("record_id", "node_path", "parent_path", "label")
+    return top.unionByName(linked)
+
+
+def entities(nodes: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Every object with its parent, its scalar ``fields`` as columns and the number of all its scalars (n_scalars).
+
+    Object nodes are joined with their scalar children on (record, object), and the labels pivoted.
+    """
+    scalar = ~F.col("kind").isin("object", "array")
+    wide = nodes.where(scalar & (F.col("object_path") != "")).groupBy("record_id", F.col("object_path").alias("node_path")).agg(
+        F.count("*").alias("n_scalars"), *(F.max(F.when((F.col("label") == f) & F.col("ordinal").isNull(), F.col("scalar"))).alias(f) for f in fields)
     )
+    return objects(nodes).join(wide.hint("merge"), ["record_id", "node_path"], "left").fillna(0, ["n_scalars"])
 
 
 def entity(nodes: DataFrame, labels: Sequence[str], fields: Sequence[str]) -> DataFrame:

@@ -54,17 +54,44 @@ def merged_citations(text: Column) -> Column:
     return F.regexp_replace(text, r"\]\s*,?\s*\[(?=(?:Ref|Figure|Table)\.)", ", ")
 
 
+def numbered_marks(text: Column, paper: Column) -> Column:
+    """Numbers in brackets as references: bare at the start of a sentence, with its preposition, else ``(See …)`` (M4).
+
+    The text is cut at the marks; what stands before a mark is then the piece before it.
+    """
+    return _marks(text, r"\[[\d, -]+\]", lambda m: F.concat(F.lit("[Ref."), F.regexp_extract(m, r"^\[(.*)\]$", 1), F.lit(" of "), paper, F.lit("]")))
+
+
+def named_marks(text: Column) -> Column:
+    """References already written out in brackets, put as :func:`numbered_marks` puts numbers (M4)."""
+    return _marks(text, r"\[\s*(?:DOI:|ArXiv:|Ref\.|ALEX:)[^\]]*\]", lambda m: m)
+
+
+def _marks(text: Column, mark: str, label) -> Column:  # noqa: ANN001
+    parts = F.split(text, rf"(?={mark})|(?<=\])")
+
+    def one(x: Column, i: Column, all_: Column) -> Column:
+        before = F.rtrim(F.coalesce(F.get(all_, i - 1), F.lit("")))
+        word = F.lower(F.element_at(F.split(before, r"\s+"), -1))
+        bare = (before == "") | before.rlike(r"[.!?;]$") | word.isin(PREPOSITIONS)
+        return F.when(x.rlike(rf"^{mark}$"), F.when(bare, label(x)).otherwise(F.concat(F.lit("(See "), label(x), F.lit(")")))).otherwise(x)
+
+    def whole(p: Column) -> Column:
+        return F.array_join(F.transform(p, lambda x, i: one(x, i, p)), "")
+
+    return F.get(F.transform(F.array(parts), whole), F.lit(0))
+
+
 def paragraphs(papers: DataFrame) -> DataFrame:
     """Paragraphs with marks resolved: row_id, paper_id, pos, section_num, section_name, text, zone.
 
     The zone is reference from a paragraph that begins with "reference" on until one that begins
     with "appendix" or "supplementary", acknowledgement for such a paragraph, else body.
     """
-    values = entry_values(papers).groupBy("row_id").agg(
-        F.map_from_entries(F.collect_list(F.struct(
-            F.concat_ws(":", "kind", F.lower(F.trim("entry_key"))).alias("k"), F.col("value").alias("v")
-        ))).alias("values")
-    )
+    mark = F.concat_ws(":", "kind", F.lower(F.trim("entry_key")))
+    # keys that differ in case or blanks are one; the first in the map holds
+    once = entry_values(papers).groupBy("row_id", mark.alias("k")).agg(F.min(F.struct("n", "value"))["value"].alias("v"))
+    values = once.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("values"))
     body = papers.select("row_id", "paper_id", F.posexplode("body_text").alias("pos", "b")).join(values, "row_id", "left")
     empty = F.create_map().cast("map<string,string>")
     mapped = F.coalesce("values", empty)

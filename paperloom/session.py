@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,13 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="paperloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder for cut points; set to a folder of our own only where unset."""
+    """The session's shared folder for cut points; a folder of our own only where unset and all runs on one machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="paperloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (at or _own_dir()).rstrip("/")
 
 
 #: The setting by which an execution removes its shuffle files at its end.

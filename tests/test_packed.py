@@ -54,3 +54,13 @@ def test_rows(spark):
 def test_long_text_is_linear(spark):
     many = "; ".join([A] * 4000)
     assert len(packed.citations(many)) == 4000
+
+
+def test_no_bounds(spark):
+    many = " ".join(f"[{i}] {A}" for i in range(1, 1500))
+    assert len(packed.citations(many)) == 1499
+    far = "(" + "x; " * 400 + ")"
+    assert [x for x in packed.citations(f"A. Bee, On {far}, 1999; {C}")] == [f"A. Bee, On {far}, 1999", C]
+    assert packed.citations(f'"{A}",{" " * 90}"{C}"') == [A, C]
+    assert packed.citations('"' * 100_000 + A)
+    assert packed._roman(49) == "xlix"
