@@ -215,17 +215,17 @@ def _cited_in(e: ET.Element) -> list[tuple[ET.Element, list[str]]]:
     return [(b, keys) for b, text in named if (keys := [k.strip() for k in text.split(",") if k.strip()])]
 
 
-def put_notes_back(paper: Paper) -> list[str]:
+def put_notes_back(paper: Paper, most: int = MOST_CITED) -> list[str]:
     """Notes among the references written out where they are cited, as ``(Note: …)``.
 
-    A soft note, one without a citation of its own, stays a reference if it is cited more than twice.
+    A soft note, one without a citation of its own, stays a reference if it is cited more than ``most`` times.
     """
     cites = find(paper.tree, "cite")
     count = Counter(k for c in cites for _, keys in _cited_in(c) for k in keys)
     back: list[str] = []
     for c in cites:
         for b, keys in _cited_in(c):
-            noted = [k for k in keys if k in paper.notes and (paper.notes[k][0] or count[k] <= MOST_CITED)]
+            noted = [k for k in keys if k in paper.notes and (paper.notes[k][0] or count[k] <= most)]
             for key in noted:
                 back.append(key)
                 put_before(paper, c, f" (Note: {paper.notes[key][1]})")
@@ -321,6 +321,8 @@ def collect_media(paper: Paper) -> None:
                 continue
             captions = [c for c in e.iter() if is_a(c, "caption", "figcaption")]
             number = number_in(next((t for t in (tag_of(c) for c in [*captions, e]) if t), "")) or str(paper.counts[kind] + 1)
+            for t in [x for c in captions for x in c.iter() if is_a(x, "tag", "tags")]:
+                remove(paper, t)
             caption = " ".join(raw_text(c) for c in captions)
             graphics = [f"![{g.get('id', '')}]({g.get('src') or g.get('graphic', '')})" for g in e.iter() if is_a(g, "graphics") or g.tag == "img"]
             source = "\n".join([*graphics, *(t for t in [table_text(e)] if t)])
@@ -392,8 +394,9 @@ def write_references(paper: Paper) -> tuple[dict[str, int], list[str]]:
             kind, label = paper.labels.get(k, ("Reference", f"MissingCite_{missing.get(k, 0)}"))
             parts.append(f"{_WORD[kind]}.{label}")
         up = paper.parent.get(e)
-        left = (up.text or "") if up is not None and list(up)[:1] == [e] else ""
-        text = cited_as(left or "x", f"[{', '.join(parts)} of {paper.paper_id}]", e.tail or "x") if parts else raw_text(e)
+        at = list(up).index(e) if up is not None else 0
+        left = ((up[at - 1].tail if at else up.text) or "") if up is not None else ""
+        text = cited_as(left, f"[{', '.join(parts)} of {paper.paper_id}]", e.tail or "x") if parts else raw_text(e)
         remove(paper, e, " " + text)
     for e in find(paper.tree, "ref"):
         key = e.get("labelref") or (e.get("href", "")[1:] if e.get("href", "").startswith("#") else "")
@@ -449,11 +452,11 @@ def blocks(e: ET.Element, path: tuple[int, ...] = (), title: str | None = None)
             n += 1
         elif heading and path:
             pass
-        elif heading or is_a(c, "p") or c.tag in ("li", "pre", "blockquote"):
+        elif heading or is_a(c, "p", "item") or c.tag in ("li", "pre", "blockquote"):
             yield from flush()
             text = lines(inline(c))
             if text:
-                kind = "heading" if heading else "item" if c.tag == "li" else "text"
+                kind = "heading" if heading else "item" if c.tag == "li" or is_a(c, "item") else "text"
                 yield {"path": list(path), "level": len(path), "title": title, "kind": kind, "text": text}
         elif c.tag in ("nav", "head", "footer", "header"):
             pass
@@ -540,3 +543,56 @@ def extract_udf(html: bool):  # noqa: ANN201
         return pd.DataFrame([[r.get(c) for c in columns] for r in rows], columns=columns)
 
     return run
+
+
+CLASSIC = (
+    "status string, sections array<struct<tag:string,section_title:string,section_content:array<array<string>>>>, "
+    "appendix array<struct<title:string,paragraph:array<string>>>, index array<struct<title:string,paragraph:array<string>>>, put_back array<string>"
+)
+
+
+def classic(text: str | None, paper_id: str) -> dict:
+    """A document in the older shape: a flat list of sections with their paragraphs, appendix and index apart.
+
+    Footnotes stay where they are, as ``[[[Notice: …]]]``, and so do notes among the references that are cited once.
+    """
+    if text is None:
+        return {"status": "NoXML"}
+    try:
+        paper = Paper(parse_xml(text), paper_id or "", False)
+    except ET.ParseError:
+        return {"status": "ParseError"}
+    math_to_tex(paper)
+    for e in find(paper.tree, "note", "footnote"):
+        for mark in [x for x in e.iter() if is_a(x, "tags", "tag")]:
+            remove(paper, mark)
+        remove(paper, e, f"[[[Notice: {raw_text(e)}]]]")
+    collect_bibliography(paper)
+    back = put_notes_back(paper, most=1)
+    collect_equations(paper)
+    collect_media(paper)
+    collect_leftovers(paper)
+    collect_labels(paper)
+    write_references(paper)
+    aside = {name: side_sections(paper, name) for name in ("appendix", "index")}
+    sections = []
+    for e in find(paper.tree, "section"):
+        head = next((c for c in e if is_a(c, "title")), None)
+        tag = tag_of(head) if head is not None else ""
+        for t in [x for x in (head.iter() if head is not None else ()) if is_a(x, "tag", "tags")]:
+            remove(paper, t)
+        body = [[b["text"]] for b in blocks(e) if b["kind"] != "heading" and b["path"] == []]
+        sections.append({"tag": tag, "section_title": raw_text(head) if head is not None else None, "section_content": body})
+    return {"status": "Finish", "sections": sections, "put_back": back, **aside}
+
+
+def classic_udf():  # noqa: ANN201
+    """A vectorised function of (text, paper id) to the struct :data:`CLASSIC`."""
+    columns = [c.split()[0] for c in re.split(r", (?![^<]*>)", CLASSIC)]
+
+    @F.pandas_udf(CLASSIC)
+    def run(text: pd.Series, paper_id: pd.Series) -> pd.DataFrame:
+        rows = [classic(t, i) for t, i in zip(text, paper_id, strict=True)]
+        return pd.DataFrame([[r.get(c) for c in columns] for r in rows], columns=columns)
+
+    return run

@@ -60,15 +60,25 @@ def year(v: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")).try_cast("int")
 
 
+#: Words that join what follows them to a surname, and what may follow a name (fixed values).
+PARTICLES = "de del della der den di da dos du la le van von ter ten bin ibn al el zu zum zur st"
+SUFFIXES = "jr sr ii iii iv v phd md esq"
+
+
 def short_name(name: Column) -> Column:
-    """A full name as initials and surname; one word and names with a comma are turned or left."""
+    """A full name as initials and surname.
+
+    One word stays. What stands after a comma is given names, or a suffix, which goes; particles
+    before the last word belong to the surname.
+    """
     flat = F.trim(F.regexp_replace(name, r"\s+", " "))
-    turned = F.when(flat.contains(","), F.regexp_replace(flat, r"^([^,]+),\s*(.+)$", "$2 $1")).otherwise(flat)
-    parts = F.split(turned, " ")
-    last = F.element_at(parts, -1)
-    given = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
+    suffix = rf"(?i),?\s+(?:{'|'.join(SUFFIXES.split())})\.?$"
+    plain = F.regexp_replace(flat, suffix, "")
+    turned = F.when(plain.contains(","), F.regexp_replace(plain, r"^([^,]+),\s*(.+)$", "$2 $1")).otherwise(plain)
+    last = F.regexp_extract(turned, rf"(?i)((?:\b(?:{'|'.join(PARTICLES.split())})\s+)*\S+)$", 1)
+    given = F.filter(F.split(F.trim(F.left(turned, F.length(turned) - F.length(last))), " "), lambda g: g != "")
     initials = F.array_join(F.transform(given, lambda g: F.concat(F.upper(F.left(g, F.lit(1))), F.lit("."))), " ")
-    return F.when(F.size(parts) == 1, turned).otherwise(F.concat_ws(" ", initials, last))
+    return F.when(~turned.contains(" "), turned).when(F.size(given) == 0, last).when(name.isNotNull(), F.concat_ws(" ", initials, last))
 
 
 def authors(v: Column, most: int = 3) -> Column:
@@ -83,7 +93,10 @@ def authors(v: Column, most: int = 3) -> Column:
     listed = F.coalesce(F.try_variant_get(v, "$.author", "array<variant>"), F.try_variant_get(v, "$.authors", "array<variant>"))
     text = F.coalesce(F.try_variant_get(v, "$.author", "string"), F.try_variant_get(v, "$.authors", "string"))
     split = F.transform(F.split(text, r"\s*,\s*|\s+and\s+"), short_name)
-    named = F.when(listed.isNotNull(), F.transform(listed, one)).otherwise(split)
+    # an author given literally may be several, whose names stay as they are
+    literal = F.transform(listed, lambda a: F.split(F.try_variant_get(a, "$.literal", "string"), r"\s*,\s*|\s+and\s+"))
+    each = F.flatten(F.transform(F.arrays_zip(literal.alias("l"), F.transform(listed, one).alias("o")), lambda z: F.coalesce(z["l"], F.array(z["o"]))))
+    named = F.when(listed.isNotNull(), each).otherwise(split)
     kept = F.slice(F.filter(named, lambda x: F.coalesce(F.trim(x), F.lit("")) != ""), 1, most)
     return F.when(F.size(kept) > 0, kept)
 
@@ -143,3 +156,11 @@ def flattened(r: Column, most: int = 3) -> list[Column]:
     """A reference as flat columns, authors numbered."""
     plain = ("title", "journal", "journal_volume", "journal_page", "year", "publisher", "content")
     return [*(r[f].alias(f) for f in plain), *(F.get(r["author"], i).alias(f"author_{i}") for i in range(most))]
+
+
+def recommended_ids(v: Column) -> Column:
+    """Identifiers of a recommended entry: its own, the registered DOI, and the first preprint it contains."""
+    own = F.coalesce(F.try_variant_get(v, "$.ids", "map<string,string>"), F.create_map().cast("map<string,string>"))
+    more = F.map_from_arrays(F.array(F.lit("doi"), F.lit("arXiv")), F.array(scalar(v, "crossref_doi"), F.try_variant_get(v, "$.contained_arXiv_ids[0].id", "string")))
+    more = F.map_filter(more, lambda _, x: x.isNotNull())
+    return F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key(more, k)), more)

@@ -136,7 +136,7 @@ def four_digits(c: Column) -> Column:
 def merged_authors(bib: Column) -> Column:
     """A BibTeX entry whose repeated author lines are one."""
     people = F.array_join(F.regexp_extract_all(bib, F.lit(r"author = \{(.*?)\}"), F.lit(1)), ", ")
-    rest = F.regexp_replace(bib, r"author = \{.*?\}\n\s*(?=(?s:.*)author = \{)", "")
+    rest = F.regexp_replace(bib, r"author = \{.*?\},?\n\s*(?=(?s:.*)author = \{)", "")
     one = F.regexp_replace(rest, r"author = \{.*?\}", "\ufdd0")
     return F.when(F.contains(bib, F.lit("author")), F.replace(one, F.lit("\ufdd0"), F.concat(F.lit("author = {"), people, F.lit("}")))).otherwise(bib)
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.reference import filled, worth_keeping
+from paperloom.functions.reference import filled, identifiers, worth_keeping
 from paperloom.session import persist_table
 
 ALIAS = "type string, value string, entity_id string"
@@ -25,29 +25,47 @@ def alias_rows(rows: DataFrame, ids: str = "ids", key: str = "row_key") -> DataF
     return pairs.where("trim(value) <> '' and type <> 'semopenalex'").select("row_key", "type", F.trim("value").alias("value")).distinct()
 
 
-def within_source(pairs: DataFrame, rounds: int = 30) -> DataFrame:
-    """Rows of one source that share identifiers, directly or through others: row_key, group.
+def within_source(pairs: DataFrame) -> DataFrame:
+    """Rows of one source that share identifiers, directly or through others: row_key, group, the smallest row_key.
 
-    Labels spread as minima over row and identifier in turn; both steps are aggregations with
-    map-side combine, so a shared identifier of very many rows is no hot spot.
+    Rows are first tied to the smallest row of each of their identifiers; then large and small stars
+    take turns until no edge changes, which takes rounds in the logarithm of the longest chain. Minima
+    are aggregated map-side, so an identifier of very many rows is no hot spot.
     """
-    edges = persist_table(pairs.select("row_key", F.concat_ws(":", "type", "value").alias("alias")), "edges")
-    labels = persist_table(edges.groupBy("row_key").agg(F.min("alias").alias("group")), "labels")
-    for _ in range(rounds):
-        of_alias = edges.join(labels, "row_key").groupBy("alias").agg(F.min("group").alias("low"))
-        low = edges.join(of_alias, "alias").groupBy("row_key").agg(F.min("low").alias("low"))
-        step = persist_table(labels.join(low, "row_key").select("row_key", F.least("group", "low").alias("next"), "group"), "labels")
-        moved = step.where("next <> group").limit(1).count()
-        labels = step.select("row_key", F.col("next").alias("group"))
-        if not moved:
+    named = persist_table(pairs.select("row_key", F.concat_ws(":", "type", "value").alias("alias")), "edges")
+    low = named.groupBy("alias").agg(F.min("row_key").alias("v"))
+    edges = named.join(low.hint("merge"), "alias").where("row_key <> v").select(F.col("row_key").alias("u"), "v").distinct()
+    edges, before = persist_table(edges, "star"), None
+    while True:
+        edges = persist_table(_small_star(_large_star(edges)), "star")
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
             break
-    return labels
+        before = state
+    return named.select("row_key").distinct().join(edges.select(F.col("u").alias("row_key"), "v").hint("merge"), "row_key", "left").select(
+        "row_key", F.coalesce("v", "row_key").alias("group")
+    )
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """The greater neighbours of each row tied to its smallest one."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
+    return both.where("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("w").alias("v")).where("u <> v").distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """The smaller neighbours of each row, and the row, tied to the smallest one."""
+    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    low = down.groupBy("u").agg(F.min("v").alias("w"))
+    tied = down.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("w").alias("v"))
+    return tied.unionByName(low.select("u", F.col("w").alias("v"))).where("u <> v").distinct()
 
 
 def resolve(aliases: DataFrame, rows: DataFrame, prefix: str, ids: str = "ids", key: str = "row_key") -> DataFrame:
     """Each row with its entity: row_key, entity_id, outcome (known, new, conflict, no_ids)."""
     pairs = persist_table(alias_rows(rows, ids, key), "pairs")
-    groups = within_source(pairs)
+    groups = persist_table(within_source(pairs), "groups")
     known = (
         pairs.join(aliases, ["type", "value"], "left").join(groups, "row_key")
         .groupBy("group").agg(
@@ -99,16 +117,21 @@ def entity_of(rows: DataFrame, aliases: DataFrame, order: Sequence[str], ids: st
     return ranked.groupBy("row_key").agg(F.min(F.struct("place", "value", "entity_id"))["entity_id"].alias("entity_id"))
 
 
-def upsert(index: DataFrame, rows: DataFrame, fields: tuple[str, ...], key: str = "entity_id") -> DataFrame:
+def upsert(index: DataFrame, rows: DataFrame, fields: tuple[str, ...], key: str = "entity_id", order: str | None = None) -> DataFrame:
     """The index with rows of another source: inserted, filled in, or refused (Q3 to Q5).
 
-    ``index`` and ``rows`` have the key and the fields; several rows of one key count as the first by
-    its fields. Outcome: kept, inserted, filled, nothing_new, too_little (refused, not in the index).
+    ``index`` and ``rows`` have the key and the fields. Several rows of one key are merged row after row
+    in ``order``: each field is the first that any of them has (without order, the smallest).
+    Outcome: kept, inserted, filled, nothing_new, too_little (refused, not in the index).
     """
-    whole = F.struct(*(F.col(f) for f in fields))
-    a = index.groupBy(key).agg(F.min(whole).alias("old"))
-    b = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(whole).alias("new"))
-    both = a.join(b, key, "full")
+    def merged(df: DataFrame, name: str) -> DataFrame:
+        def first(f: str) -> Column:
+            return F.min_by(f, F.when(F.col(f).isNotNull(), F.col(order))) if order else F.min(f)
+
+        each = df.where(F.col(key).isNotNull()).groupBy(key).agg(*(first(f).alias(f) for f in fields))
+        return each.select(key, F.struct(*fields).alias(name))
+
+    both = merged(index, "old").join(merged(rows, "new"), key, "full")
     made = filled(F.col("old"), F.col("new"), fields)
     outcome = (
         F.when(F.col("new").isNull(), "kept").when(F.col("old").isNull() & worth_keeping(F.col("new")), "inserted")
@@ -134,3 +157,40 @@ def enrichment_census(index: DataFrame, rows: DataFrame, text: Column, good: Col
         .when(F.col("_has"), "present").otherwise("added")
     )
     return seen.groupBy(state.alias("state")).agg(F.count("*").alias("rows"))
+
+
+def _id_map(**columns: Column) -> Column:
+    """A map of the identifiers that are not blank."""
+    made = F.map_from_arrays(F.array(*map(F.lit, columns)), F.array(*(F.nullif(F.trim(c.cast("string")), F.lit("")) for c in columns.values())))
+    return F.map_filter(made, lambda _, v: v.isNotNull())
+
+
+def crossref_ids(items: DataFrame) -> DataFrame:
+    """Rows of a DOI registry: row_key, ids; rows with more than one alternative id or no DOI are passed over."""
+    several = F.size(F.array_distinct(F.coalesce("`alternative-id`", F.array().cast("array<string>")))) > 1
+    return items.where(F.col("DOI").isNotNull() & ~several).select("row_key", _id_map(doi=F.col("DOI")).alias("ids"))
+
+
+def scholar_ids(rows: DataFrame) -> DataFrame:
+    """Rows of a catalogue with a map of external ids: row_key, ids by canonical name; an OpenAlex id begins with W."""
+    ids = identifiers(F.map_filter("externalids", lambda k, _: F.lower(k) != "corpusid"))
+    upper = F.transform_values(ids, lambda k, v: F.when(k == "openalex", F.regexp_replace(v, "^w", "W")).otherwise(v))
+    return rows.select("row_key", F.map_filter(upper, lambda k, _: k != "semopenalex").alias("ids"))
+
+
+def entry_ids(papers: DataFrame) -> DataFrame:
+    """Bibliography entries of deliveries: row_key (of delivery and entry), ids (P5)."""
+    rows = papers.select("row_id", F.posexplode(F.map_entries("bib_entries")).alias("pos", "e"))
+    ids = identifiers(F.map_filter("e.value.ids", lambda _, v: F.coalesce(F.trim(v), F.lit("")) != ""))
+    return rows.select(F.concat_ws("/", "row_id", "pos").alias("row_key"), ids.alias("ids")).where("ids is not null")
+
+
+def preprint_ids(rows: DataFrame) -> DataFrame:
+    """Rows of preprint metadata with id and doi: row_key, ids."""
+    return rows.select("row_key", _id_map(arxiv=F.col("id"), doi=F.col("doi")).alias("ids"))
+
+
+def conflicts(outcome: DataFrame, rows: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The identifiers of rows that name several entities, each with its entity: row_key, type, value, entity_id."""
+    several = outcome.where("outcome = 'conflict'").select("row_key")
+    return alias_rows(rows).join(several, "row_key", "left_semi").join(aliases, ["type", "value"]).select("row_key", "type", "value", "entity_id")

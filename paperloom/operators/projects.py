@@ -40,22 +40,27 @@ def root_candidates(files: DataFrame, with_content: bool = False, needs_includes
     return roots.select("paper_id", "name", "stem")
 
 
+#: Names of supplements, and what their names hold (fixed values).
+SUPPLEMENTS = ("supp", "appendix", "supplementary", "app")
+SUPPLEMENT_MARKS = ("supplement", "appendix")
+
+
 def is_supplement(stem: Column) -> Column:
-    """Whether a file name speaks of a supplement."""
-    return stem.rlike(r"(?i)supp|append|si[_-]|[_-]si$|response|cover|letter")
+    """Whether a file name is that of a supplement."""
+    return stem.isin(*SUPPLEMENTS) | stem.rlike("|".join(SUPPLEMENT_MARKS)) | F.endswith(stem, F.lit("suppl"))
 
 
 def root_files(files: DataFrame) -> DataFrame:
     """The root file of each project: paper_id, status, root.
 
-    In order: the only candidate; one named main or paper or ms; the only one with a ``.bbl`` twin;
-    the only one that is no supplement; the only one that opens a document. Else the project is a
+    In order: the only candidate; one named main; the only one with a ``.bbl`` twin; the only one that
+    is no supplement; the only one that opens a document. Else the project is a
     multifiles_case, or cannot_locate_main without candidate, or no_tex without TeX file.
     """
     twins = files.where(F.lower("name").endswith(".bbl")).select("paper_id", _stem(F.col("name")).alias("stem"), F.lit(True).alias("twin")).distinct()
     opens = root_candidates(files, with_content=True).select("paper_id", "stem", F.lit(True).alias("opens")).distinct()
     c = root_candidates(files).join(twins, ["paper_id", "stem"], "left").join(opens, ["paper_id", "stem"], "left")
-    main = F.col("stem").isin("main", "paper", "ms", "manuscript", "article")
+    main = F.col("stem") == "main"
 
     def only(condition: Column, name: str) -> list[Column]:
         return [F.count_if(condition).alias(f"n_{name}"), F.min(F.when(condition, F.col("name"))).alias(name)]
@@ -174,3 +179,107 @@ def with_bibliography(tex: DataFrame, bbl: DataFrame) -> DataFrame:
     appended = F.concat(F.get(end, F.lit(0)), F.col("bbl"), F.lit("\n\\end{document}"), F.coalesce(F.get(end, F.lit(1)), F.lit("")))
     made = F.when(F.col("bbl").isNull(), F.col("content")).when(F.col("content").rlike(command), replaced).otherwise(appended)
     return joined.withColumn("content", made).drop("bbl")
+
+
+def good_files(files: DataFrame, modes: tuple[str, ...] = MODES) -> DataFrame:
+    """TeX files of each project without those that a mode has made; a lone one of these stands for its original.
+
+    Status good, renamed, none or ErrorCaseI (several made ones and no original): paper_id, status, names.
+    """
+    made = F.lower("name").rlike(rf"\.(?:{'|'.join(modes)})\.tex$")
+    bare = F.regexp_replace("name", rf"(?i)\.(?:{'|'.join(modes)})(?=\.tex$)", "")
+    tex = files.where(F.lower("name").endswith(".tex")).select("paper_id", "name", made.alias("made"), bare.alias("bare"))
+    held = tex.groupBy("paper_id").agg(
+        F.array_sort(F.collect_set(F.when(~F.col("made"), F.col("name")))).alias("own"), F.array_sort(F.collect_set(F.when(F.col("made"), F.col("bare")))).alias("others"),
+        F.count_if("made").alias("n_made"),
+    )
+    every = files.select("paper_id").distinct().join(held, "paper_id", "left")
+    status = (
+        F.when(F.size("own") > 0, "good").when(F.col("n_made") == 1, "renamed").when(F.coalesce("n_made", F.lit(0)) == 0, "none").otherwise("ErrorCaseI")
+    )
+    none = F.array().cast("array<string>")
+    names = F.when(F.size("own") > 0, F.col("own")).when(F.col("n_made") == 1, F.col("others")).otherwise(none)
+    return every.select("paper_id", status.alias("status"), names.alias("names"))
+
+
+def remake_buckets(files: DataFrame) -> DataFrame:
+    """Projects by what can be made of them again: paper_id, bucket (remake, multi, missing), root."""
+    tex = files.where(F.lower("name").endswith(".tex"))
+    n = tex.groupBy("paper_id").agg(F.count("*").alias("n"), F.min("name").alias("only"))
+    roots = root_candidates(tex, with_content=True).groupBy("paper_id").agg(F.count("*").alias("n_roots"), F.min("name").alias("root"))
+    joined = files.select("paper_id").distinct().join(n, "paper_id", "left").join(roots, "paper_id", "left")
+    one, none = F.col("n") == 1, F.coalesce("n", F.lit(0)) == 0
+    bucket = F.when(none, "missing").when(one, "remake").when(F.col("n_roots") > 1, "multi").when(F.col("n_roots") == 1, "remake").otherwise("missing")
+    return joined.select("paper_id", bucket.alias("bucket"), F.when(bucket == "remake", F.when(one, F.col("only")).otherwise(F.col("root"))).alias("root"))
+
+
+#: Endings of files that a TeX project needs (fixed values).
+NEEDED = (".tex", ".ps", ".bbl", ".sty", ".cls", ".bst", ".bib", ".bbx", ".tikz", ".csv", ".clo", ".cbx", ".dtx", ".fls")
+
+
+def needed_files(listing: DataFrame, flag: str, line: str = "line") -> DataFrame:
+    """Paths of a listing that carry a flag and end as needed files do: path, the second word of the line."""
+    t = F.trim(line)
+    ends = F.lower(t).rlike("(?:" + "|".join(e.replace(".", r"\.") for e in NEEDED) + ")$")
+    return listing.where(F.contains(line, F.lit(flag)) & ends).select(F.get(F.split(t, r"\s+"), F.lit(1)).alias("path"))
+
+
+#: Lists of bibliographies that are no bibliography of the paper (fixed values).
+COMMON_BIBLIOGRAPHIES = ("IEEEabrv", "anthology")
+
+
+def reference_triage(roots: DataFrame, files: DataFrame, missing: DataFrame) -> DataFrame:
+    """Papers without references by what they can be recovered from: paper_id, bucket (H8, ten buckets).
+
+    ``roots`` has paper_id, name and content of the root file, ``missing`` paper_id and n of cited keys
+    that no reference has. Buckets tell whether the source names bibliographies (noref or ref), and which
+    of them, compiled (bbl) or not (bib), are there.
+    """
+    own = F.regexp_replace("name", r"(?i)\.tex$", "")
+    named = F.filter(bibliography_names(uncommented(F.col("content"))), lambda x: ~x.isin(*COMMON_BIBLIOGRAPHIES))
+    asked = roots.select("paper_id", own.alias("own"), named.alias("names"))
+    have = files.groupBy("paper_id").agg(F.collect_set(F.regexp_replace("name", r"^.*/", "")).alias("have"))
+    miss = missing.select("paper_id", F.col("n").alias("n_missing"))
+    t = asked.join(have, "paper_id", "left").join(miss, "paper_id", "left")
+
+    def there(name: Column, ending: str) -> Column:
+        return F.coalesce(F.array_contains("have", F.concat(F.regexp_replace(name, r"\.(?:bib|bbl)$", ""), F.lit(ending))), F.lit(False))
+
+    bbl = F.size(F.filter("names", lambda x: there(x, ".bbl")))
+    bib = F.size(F.filter("names", lambda x: ~there(x, ".bbl") & there(x, ".bib")))
+    t = t.withColumns({"n": F.size("names"), "bbl": bbl, "bib": bib, "root_bbl": there(F.col("own"), ".bbl"), "root_bib": there(F.col("own"), ".bib")})
+    whole = F.col("n") == F.col("bbl") + F.col("bib")
+    bucket = (
+        F.when((F.col("n") == 0) & F.col("root_bbl"), "noref_but_bbl").when((F.col("n") == 0) & F.col("root_bib"), "noref_but_bib")
+        .when((F.col("n") == 0) & (F.coalesce("n_missing", F.lit(0)) == 0), "noref_no_cite").when(F.col("n") == 0, "noref_other_bib")
+        .when((F.col("bbl") == F.col("n")) | F.col("root_bbl"), "ref_bbl_complete")
+        .when(whole & (F.col("bbl") > 0), "ref_part_bbl").when(whole, "ref_only_bib")
+        .when(F.col("bbl") > 0, "ref_incomplete_bbl").when(F.col("bib") > 0, "ref_incomplete_bib").otherwise("ref_no_bib")
+    )
+    return t.select("paper_id", bucket.alias("bucket"))
+
+
+def reference_readiness(papers: DataFrame) -> DataFrame:
+    """Papers by their reference text: pass, empty_reference or no_reference (H9). ``papers`` has paper_id, text."""
+    status = F.when(F.col("text").isNull(), "no_reference").when(F.length("text") > 0, "pass").otherwise("empty_reference")
+    return papers.select("paper_id", status.alias("status"))
+
+
+def allowed_failures(counts: DataFrame) -> DataFrame:
+    """Failed conversions whose errors all come from undefined macros and missing files (G8). ``counts`` has errors, macros, missing."""
+    return counts.withColumn("is_allowed", (F.col("errors") > 0) & (F.col("errors") <= F.col("macros") + F.col("missing")))
+
+
+def moved(states: DataFrame) -> DataFrame:
+    """Where a converted project belongs: done, or kept aside without a bibliography (G12). ``states`` has paper_id, passed, has_bib."""
+    return states.select("paper_id", F.when(F.col("passed") & F.col("has_bib"), "done").when(F.col("passed"), "without_bibliography").otherwise("unprocessed").alias("place"))
+
+
+def cleaned_listing(files: DataFrame) -> DataFrame:
+    """Files to keep of each project, with plain endings; prints and pictures go, and projects without TeX are named."""
+    low = F.lower("name")
+    name = F.regexp_replace("name", r"\.TEX$", ".tex")
+    kept = files.where(~low.rlike(r"\.(?:ps|pdf|eps)$")).select("paper_id", name.alias("name"))
+    has = kept.groupBy("paper_id").agg(F.bool_or(F.endswith(F.col("name"), F.lit(".tex"))).alias("has_tex"))
+    every = files.select("paper_id").distinct().join(has, "paper_id", "left").select("paper_id", F.coalesce("has_tex", F.lit(False)).alias("has_tex"))
+    return every.join(kept.groupBy("paper_id").agg(F.array_sort(F.collect_set("name")).alias("names")), "paper_id", "left")

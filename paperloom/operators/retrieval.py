@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.scoring import similarity_udf
-from paperloom.functions.text import arxiv_id
+from paperloom.functions.text import arxiv_id, is_note
 from paperloom.session import persist_table
 
 #: Usual parameters of BM25.
@@ -44,9 +44,10 @@ def bm25(queries: DataFrame, docs: DataFrame, fields: Sequence[str], k: int, qid
          most_common: float = 0.1) -> DataFrame:
     """The k best documents of each query by the sum over fields of BM25: query_id, entity_id, bm25, hit_rank.
 
-    Tokens in more than ``most_common`` of the documents are not used to find candidates, only to
-    score those found by others; a query all of whose tokens are that common falls back on its
-    rarest token, so no query is lost. Scores are rounded to six places; ties go to the smaller id.
+    Exact. Tokens in more than ``most_common`` of the documents first only score documents that others
+    find. A document that no other token finds scores at most the sum of what such tokens can give;
+    queries whose k-th score does not exceed that, or with fewer hits, are then run with all tokens.
+    Scores are rounded to six places; ties go to the smaller id.
     """
     index = persist_table(postings(docs, did, fields), "postings")
     asked = persist_table(postings(queries, qid, fields).select(qid, "field", "token").distinct(), "asked")
@@ -54,20 +55,84 @@ def bm25(queries: DataFrame, docs: DataFrame, fields: Sequence[str], k: int, qid
     field_len = index.select(did, "field", "len").distinct().groupBy("field").agg(F.avg("len").alias("avg_len"))
     df = index.groupBy("field", "token").agg(F.count("*").alias("df"))
     stats = persist_table(
-        df.join(F.broadcast(field_len), "field").withColumn("n_docs", F.lit(n_docs))
-        .withColumn("idf", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))), "stats"
+        df.join(F.broadcast(field_len), "field").withColumn("idf", F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))), "stats"
     )
-    used = asked.join(stats.select("field", "token", "df", "idf", "avg_len", "n_docs"), ["field", "token"])
-    rarest = used.groupBy(qid).agg(F.min("df").alias("low"))
-    used = persist_table(
-        used.join(rarest, qid).withColumn("finds", (F.col("df") <= F.col("n_docs") * most_common) | (F.col("df") == F.col("low"))), "used"
-    )
-    found = used.where("finds").join(index.select(did, "field", "token"), ["field", "token"]).select(qid, did).distinct()
-    held = found.join(used.select(qid, "field", "token", "idf", "avg_len"), qid)
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
-    scored = held.join(index, [did, "field", "token"]).groupBy(qid, did).agg(F.round(F.sum(part), 6).alias("bm25"))
+    used = asked.join(stats.select("field", "token", "df", "idf", "avg_len"), ["field", "token"])
+    used = persist_table(used.withColumn("finds", F.col("df") <= n_docs * most_common), "used")
     rank = F.row_number().over(Window.partitionBy(qid).orderBy(F.desc("bm25"), did))
-    return scored.withColumn("hit_rank", rank).where(F.col("hit_rank") <= k)
+
+    def best(finders: DataFrame, terms: DataFrame) -> DataFrame:
+        found = finders.join(index.select(did, "field", "token"), ["field", "token"]).select(qid, did).distinct()
+        held = found.join(terms.select(qid, "field", "token", "idf", "avg_len"), qid)
+        part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
+        scored = held.join(index, [did, "field", "token"]).groupBy(qid, did).agg(F.round(F.sum(part), 6).alias("bm25"))
+        return scored.withColumn("hit_rank", rank).where(F.col("hit_rank") <= k)
+
+    first = persist_table(best(used.where("finds"), used), "first")
+    skipped = used.groupBy(qid).agg(F.sum(F.when(~F.col("finds"), F.col("idf") * (K1 + 1)).otherwise(0.0)).alias("bound"))
+    kth = first.groupBy(qid).agg(F.count("*").alias("n"), F.min("bm25").alias("low"))
+    doubtful = (F.col("bound") > 0) & ((F.coalesce("n", F.lit(0)) < k) | (F.col("low") <= F.col("bound")))
+    again = persist_table(skipped.join(kth, qid, "left").where(doubtful).select(qid), "again")
+    terms = used.join(again, qid, "left_semi")
+    return first.join(again, qid, "left_anti").unionByName(best(terms, terms))
+
+
+#: Names that a field has in the index of an engine (fixed values).
+NAMES = {"v21": {"journal_volume": "jvol", "journal_page": "jpage", "journal": "jname"}}
+
+
+def clauses(record: Column, engine: str = "integrate", authors: int = 3) -> Column:
+    """The clauses that a search for a record joins by OR: array of fields and text.
+
+    One for each of the first authors, over all author fields, and one for each other field that is there.
+    """
+    if engine == "sentence":
+        return F.array(F.struct(F.array(F.lit("content"), F.lit("short_content")).alias("fields"), record["content"].alias("text")))
+    if engine not in ENGINES:
+        raise ValueError(f"unknown engine {engine}")
+    names = NAMES.get(engine, {})
+    places = F.array(*(F.lit(f"author.{i}") for i in range(authors)))
+    people = F.transform(F.slice(F.coalesce(record["author"], F.array().cast("array<string>")), 1, authors), lambda a: F.struct(places.alias("fields"), a.alias("text")))
+    others = [F.struct(F.array(F.lit(names.get(f, f))).alias("fields"), record[f].cast("string").alias("text")) for f in ("journal_volume", "journal_page", "title", "journal", "year")]
+    return F.filter(F.concat(people, F.array(*others)), lambda c: F.coalesce(F.trim(c["text"]), F.lit("")) != "")
+
+
+def retrieve(queries: DataFrame, docs: DataFrame, engine: str, k: int) -> DataFrame:
+    """The k best records of an engine's fields for each query; an unknown engine is an error."""
+    if engine not in ENGINES:
+        raise ValueError(f"unknown engine {engine}")
+    names = {v: f for f, v in NAMES.get(engine, {}).items()}
+    return bm25(queries, docs.withColumnsRenamed(names), ENGINES[engine], k)
+
+
+#: What stands in the place of the results of a note (fixed value).
+NOTE = "the_is_a_note"
+
+
+def without_notes(citations: DataFrame, text: str = "content") -> tuple[DataFrame, DataFrame]:
+    """Citations to be searched, and notes with their result in place of one."""
+    note = F.coalesce(is_note(F.col(text)), F.lit(False))
+    return citations.where(~note), citations.where(note).withColumn("found_id", F.lit(NOTE))
+
+
+def paper_status(papers: DataFrame) -> DataFrame:
+    """What becomes of the references of each paper (S15). ``papers`` has paper_id, has_text, n_text, has_structured, is_done."""
+    status = (
+        F.when(~F.col("has_text"), "no_ref_text").when(F.col("n_text") == 0, "empty_ref_text").when(~F.col("has_structured"), "no_ref_structured")
+        .when(F.col("is_done"), "already_done").otherwise("pass")
+    )
+    return papers.select("paper_id", status.alias("status"))
+
+
+def index_record(record: DataFrame, aliases: DataFrame, most: int = 3) -> DataFrame:
+    """Records as an index has them: authors numbered, a known venue with all its names (Q2).
+
+    ``aliases`` has venue (lower case) and names (array); other columns pass through.
+    """
+    rest = [c for c in record.columns if c not in ("author", "journal")]
+    people = [F.get("author", F.lit(i)).alias(f"author_{i}") for i in range(most)]
+    joined = record.withColumn("_venue", F.lower("journal")).join(aliases.withColumnRenamed("venue", "_venue"), "_venue", "left")
+    return joined.select(*rest, *people, F.coalesce(F.array_join("names", ", "), F.col("_venue")).alias("journal"))
 
 
 def resolved_by_id(queries: DataFrame, text: str = "content", given: str | None = None) -> DataFrame:

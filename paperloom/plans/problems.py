@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,8 +110,63 @@ WHERE r.entry_table IS NOT NULL AND coalesce(last = 'delete', o.row_id IS NULL)
 """
 
 
+_P4 = """
+WITH RECURSIVE j AS (SELECT record_id, line::json AS line FROM (SELECT record_id, line FROM raw_rows WHERE line IS NOT NULL AND trim(line) <> '' AND json_valid(line)) WHERE json_type(line) = 'OBJECT'),
+r AS (SELECT record_id, 'metadata' AS root, line->'metadata' AS v FROM j UNION ALL SELECT record_id, 'body_text', line->'body_text' FROM j),
+w AS (SELECT record_id, root, v FROM r WHERE v IS NOT NULL UNION ALL SELECT record_id, root, (v->>'$')::json FROM w WHERE json_type(v) = 'VARCHAR' AND json_valid(v->>'$') AND json_type(v->>'$') IN ('OBJECT', 'ARRAY', 'VARCHAR')),
+t AS (SELECT record_id, root, v FROM w WHERE NOT (json_type(v) = 'VARCHAR' AND json_valid(v->>'$') AND json_type(v->>'$') IN ('OBJECT', 'ARRAY', 'VARCHAR'))),
+n AS (SELECT t.record_id, t.root, x.id, x.parent, x.key, x.type, x.atom FROM (SELECT record_id, root, v FROM t) t, json_tree(t.v) x),
+p AS (SELECT record_id, root, id, root AS node_path, '' AS object_path, root AS label, NULL::int AS ordinal, type, atom, NULL::varchar AS parent_path FROM n WHERE parent IS NULL
+  UNION ALL SELECT n.record_id, n.root, n.id, p.node_path || '/' || n.key, CASE WHEN p.type = 'OBJECT' THEN p.node_path ELSE p.object_path END,
+    CASE WHEN p.type = 'OBJECT' THEN n.key ELSE p.label END, CASE WHEN p.type = 'ARRAY' THEN n.key::int END, n.type, n.atom, p.node_path
+  FROM n JOIN p ON n.record_id = p.record_id AND n.root = p.root AND n.parent = p.id)"""
+_P4_REJECTS = """
+SELECT record_id, CASE WHEN line IS NULL THEN 'null' WHEN trim(line, chr(32)||chr(9)||chr(10)||chr(13)) = '' THEN 'blank' WHEN NOT json_valid(line) THEN 'broken' ELSE 'no object' END AS reason
+FROM raw_rows WHERE line IS NULL OR trim(line, chr(32)||chr(9)||chr(10)||chr(13)) = '' OR NOT json_valid(line) OR json_type(line) <> 'OBJECT'"""
+
+
+def _entity_sql(labels: Sequence[str], fields: Sequence[str]) -> str:
+    """SQL of the objects under some labels with their scalar fields."""
+    wide = ", ".join(f"max(atom->>'$') FILTER (label = '{f}') AS \"{f}\"" for f in fields)
+    direct = ", ".join(f'f."{f}"' for f in fields)
+    return _P4 + f"""
+SELECT o.record_id, o.node_path, o.object_path AS parent_path, o.label, {direct} FROM p o
+LEFT JOIN (SELECT record_id, object_path, {wide} FROM p WHERE type NOT IN ('OBJECT', 'ARRAY') AND node_path = object_path || '/' || label GROUP BY 1, 2) f
+  ON f.record_id = o.record_id AND f.object_path = o.node_path
+WHERE o.type = 'OBJECT' AND o.label IN ({', '.join(f"'{x}'" for x in labels)})"""
+
+
+_P7_REPORT = _P7.replace("WITH said", "WITH RECURSIVE said") + """,
+sec AS (SELECT row_id, delivered_at, pos, num, nullif(regexp_extract(num, '^(.+)[.-][^.-]+$', 1), '') AS outer_num FROM (
+  SELECT row_id, delivered_at, unnest(range(len(body_text))) AS pos, nullif(trim(unnest(body_text).sec_number), '') AS num FROM papers)),
+smark AS (SELECT DISTINCT row_id, paper_id, delivered_at, pos, entry_table, entry_key FROM (
+  SELECT row_id, paper_id, delivered_at, pos, CASE lower(regexp_extract(m, '\\{\\{\\s*([A-Za-z]+)\\s*:', 1)) WHEN 'cite' THEN 'bib_entries' WHEN 'figure' THEN 'ref_entries' WHEN 'table' THEN 'ref_entries'
+      WHEN 'formula' THEN 'ref_entries' END AS entry_table,
+    lower(trim(unnest(string_split(regexp_extract(m, ':([^{}]*)\\}\\}', 1), ',')), chr(32) || chr(9) || chr(10) || chr(13))) AS entry_key FROM (
+    SELECT row_id, paper_id, delivered_at, pos, unnest(regexp_extract_all(concat_ws(chr(10), x.section, x.text), '\\{\\{\\s*[A-Za-z]+\\s*:[^{}]*\\}\\}')) AS m
+    FROM (SELECT row_id, paper_id, delivered_at, unnest(range(len(body_text))) AS pos, unnest(body_text) AS x FROM papers)))
+  WHERE entry_table IS NOT NULL AND entry_key <> ''),
+direct AS (SELECT * FROM smark WHERE (row_id, entry_table, entry_key) IN (SELECT (r.row_id, r.entry_table, r.entry_key) FROM refs r
+  LEFT JOIN log USING (row_id, entry_table, entry_key) LEFT JOIN own o ON o.row_id = r.row_id AND o.entry_table = r.entry_table AND o.entry_key = r.entry_key
+  WHERE r.entry_table IS NOT NULL AND coalesce(last = 'delete', o.row_id IS NULL))),
+lost(row_id, pos, level) AS (
+  SELECT row_id, pos, 0 FROM sec s WHERE outer_num IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sec o WHERE o.row_id = s.row_id AND o.num = s.outer_num)
+  UNION SELECT s.row_id, s.pos, 1 FROM lost JOIN sec o ON o.row_id = lost.row_id AND o.pos = lost.pos JOIN sec s ON s.row_id = o.row_id AND s.outer_num = o.num),
+lev AS (SELECT row_id, pos, min(level) AS level FROM lost GROUP BY 1, 2)
+SELECT orphan_table, strftime(delivered_at, '%Y-%m') AS month, count(*) FILTER (level = 0) AS direct, count(*) FILTER (level > 0) AS inherited FROM (
+  SELECT entry_table AS orphan_table, delivered_at, 0 AS level FROM direct
+  UNION ALL SELECT entry_table, delivered_at, 1 FROM smark m WHERE (row_id, pos) IN (SELECT (row_id, pos) FROM lev)
+    AND (row_id, pos, entry_table, entry_key) NOT IN (SELECT (row_id, pos, entry_table, entry_key) FROM direct)
+  UNION ALL SELECT 'sections', delivered_at, level FROM lev JOIN sec USING (row_id, pos)) GROUP BY 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_found": _P4 + " SELECT record_id, node_path, object_path AS parent_path FROM p WHERE type = 'OBJECT'",
+        "p4_rejects": _P4_REJECTS,
+        "p4_sections": _entity_sql(SECTION_LABELS, ("section", "sec_number", "text")),
+        "p4_spans": _entity_sql(("cite_spans",), ("start", "end", "ref_id")),
+        "p7_report": _P7_REPORT,
         "p7_found": _P7_FOUND,
         "p7_months": "SELECT entry_table, strftime(delivered_at, '%Y-%m') AS month, count(*) AS orphans FROM ("
         + _P7_FOUND + ") JOIN papers USING (row_id) GROUP BY ALL",

@@ -221,7 +221,20 @@ def n1_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return _records(spark, sf).select("corpus_id", r.alias("r")).select("corpus_id", "r.title", "r.journal", "r.journal_volume", "r.year")
 
 
-@query()
+_NAME = """
+CASE WHEN NOT contains(t, ' ') THEN t ELSE array_to_string(list_transform(list_filter(string_split(trim(left(t, length(t) - length(z))), ' '), lambda g: g <> ''),
+  lambda g: upper(left(g, 1)) || '.'), ' ') || CASE WHEN trim(left(t, length(t) - length(z))) = '' THEN '' ELSE ' ' END || z END"""
+
+
+@query(f"""
+WITH a AS (SELECT corpus_id, unnest(range(1, len(authors) + 1)) AS i, unnest(authors).name AS name FROM s2_rows),
+f AS (SELECT corpus_id, i, regexp_replace(trim(regexp_replace(name, '\\s+', ' ', 'g')), '(?i),?\\s+(?:{'|'.join(reference.SUFFIXES.split())})\\.?$', '') AS f FROM a),
+t AS (SELECT corpus_id, i, CASE WHEN contains(f, ',') THEN regexp_replace(f, '^([^,]+),\\s*(.+)$', '\\2 \\1') ELSE f END AS t FROM f),
+z AS (SELECT *, regexp_extract(t, '(?i)((?:\\b(?:{'|'.join(reference.PARTICLES.split())})\\s+)*\\S+)$', 1) AS z FROM t),
+n AS (SELECT corpus_id, i, {_NAME} AS n FROM z),
+k AS (SELECT corpus_id, n, row_number() OVER (PARTITION BY corpus_id ORDER BY i) AS k FROM n WHERE coalesce(trim(n), '') <> ''),
+l AS (SELECT corpus_id, list(n ORDER BY k) AS author FROM k WHERE k <= 3 GROUP BY 1)
+SELECT corpus_id, author FROM s2_rows LEFT JOIN l USING (corpus_id)""")
 def n7_authors(spark: SparkSession, sf: str) -> DataFrame:
     """Short names of the first authors."""
     return _records(spark, sf).select("corpus_id", reference.authors(F.col("v")).alias("author"))
@@ -246,13 +259,36 @@ def _identified(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
     return [("AN", rows.where("engine = 'anystyle'")), ("GR", rows.where("engine = 'grobid'")), ("PT", rows.where("coalesce(engine, '') not in ('anystyle', 'grobid')"))]
 
 
-@query()
+def _pass(n: int, prefix: str, where: str, known: str) -> str:
+    """SQL of one source's pass: rows grouped by shared identifiers, named after what ``known`` knows of them."""
+    return f"""
+i{n} AS (SELECT DISTINCT graded_id AS r, t, v FROM ids WHERE {where}),
+g{n}(r, g) AS (SELECT r, r FROM (SELECT DISTINCT r FROM i{n}) UNION SELECT y.r, g{n}.g FROM g{n} JOIN i{n} x ON x.r = g{n}.r JOIN i{n} y ON y.t = x.t AND y.v = x.v WHERE g{n}.g <= y.r),
+m{n} AS (SELECT r, min(g) AS g FROM g{n} GROUP BY 1),
+k{n} AS (SELECT g, min(e) AS lo, max(e) AS hi FROM m{n} JOIN i{n} USING (r) LEFT JOIN ({known}) k USING (t, v) GROUP BY 1),
+o{n} AS (SELECT r, CASE WHEN lo IS NULL THEN '{prefix}.' || g WHEN lo = hi THEN lo END AS e, CASE WHEN lo IS NULL THEN 'new' WHEN lo = hi THEN 'known' ELSE 'conflict' END AS outcome FROM m{n} JOIN k{n} USING (g)),
+a{n} AS (SELECT * FROM ({known}) k UNION ALL SELECT t, v, min(e) AS e FROM i{n} JOIN o{n} USING (r) WHERE e IS NOT NULL AND (t, v) NOT IN (SELECT (t, v) FROM ({known}) k) GROUP BY ALL)"""
+
+
+_ENGINE = "coalesce(lower(trim(candidate.from_structure)), '')"
+_PASSES = ((1, "AN", "engine = 'anystyle'"), (2, "GR", "engine = 'grobid'"), (3, "PT", "engine NOT IN ('anystyle', 'grobid')"))
+_IDENTITY = (
+    "WITH RECURSIVE ids AS (SELECT graded_id, " + _ENGINE + " AS engine, t, trim(v) AS v FROM ("
+    + " UNION ALL ".join(f"SELECT graded_id, candidate, '{k}' AS t, candidate.{k} AS v FROM graded" for k in ("doi", "arxiv", "dblp", "mag", "pubmed")) + ") WHERE trim(v) <> ''),"
+    + ",".join(_pass(n, p, w, f"SELECT t, v, e FROM a{n - 1}" if n > 1 else "SELECT '' AS t, '' AS v, '' AS e WHERE false") for n, p, w in _PASSES)
+)
+
+
+@query(
+    _IDENTITY + " SELECT graded_id AS row_key, e AS entity_id, coalesce(outcome, 'no_ids') AS outcome, CASE engine WHEN 'anystyle' THEN 'AN' WHEN 'grobid' THEN 'GR' ELSE 'PT' END AS source "
+    f"FROM (SELECT graded_id, {_ENGINE} AS engine FROM graded) LEFT JOIN (SELECT * FROM o1 UNION ALL SELECT * FROM o2 UNION ALL SELECT * FROM o3) o ON o.r = graded_id"
+)
 def p4_identity(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of three sources resolved to entities, source after source."""
     return identity.build(_identified(spark, sf))[1]
 
 
-@query()
+@query(_IDENTITY + " SELECT t AS type, v AS value, e AS entity_id FROM a3")
 def p2_aliases(spark: SparkSession, sf: str) -> DataFrame:
     """The alias table of the three sources."""
     return identity.build(_identified(spark, sf))[0]
@@ -261,12 +297,26 @@ def p2_aliases(spark: SparkSession, sf: str) -> DataFrame:
 _FIELDS = ("title", "author", "journal", "journal_volume", "journal_page", "year")
 
 
-@query()
+def _firsts(name: str, where: str) -> str:
+    """SQL of the rows of one key merged in the order of their ids."""
+    return f"{name} AS (SELECT id, " + ", ".join(f"arg_min(c.{f}, graded_id) FILTER (c.{f} IS NOT NULL) AS {f}" for f in _FIELDS) + f" FROM r WHERE {where} GROUP BY 1)"
+
+
+@query(f"""
+WITH r AS (SELECT graded_id, candidate.doi AS id, candidate AS c, lower(trim(candidate.from_structure)) AS engine FROM graded WHERE candidate.doi IS NOT NULL),
+{_firsts('a', "engine = 'anystyle'")}, {_firsts('b', "coalesce(engine, '') <> 'anystyle'")},
+j AS (SELECT coalesce(a.id, b.id) AS entity_id, {', '.join(f'coalesce(a.{f}, b.{f}) AS {f}' for f in _FIELDS)}, a.id AS ia, b.id AS ib,
+  {' OR '.join(f'(a.{f} IS NULL AND b.{f} IS NOT NULL)' for f in _FIELDS)} AS fills,
+  b.title IS NOT NULL OR (b.author IS NOT NULL AND b.journal IS NOT NULL AND b.year IS NOT NULL)
+    OR (b.journal IS NOT NULL AND b.journal_volume IS NOT NULL AND b.journal_page IS NOT NULL AND b.year IS NOT NULL) AS worth
+  FROM a FULL JOIN b ON a.id = b.id)
+SELECT entity_id, {', '.join(_FIELDS)}, CASE WHEN ib IS NULL THEN 'kept' WHEN ia IS NULL AND worth THEN 'inserted' WHEN ia IS NULL THEN 'too_little'
+  WHEN fills THEN 'filled' ELSE 'nothing_new' END AS outcome FROM j""")
 def q4_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """An index of one engine's records brought up to date by those of the others."""
     graded = table(spark, sf, "graded").where("candidate.doi is not null")
-    flat = graded.select(F.col("candidate.doi").alias("entity_id"), F.lower(F.trim("candidate.from_structure")).alias("engine"), *(F.col(f"candidate.{f}").alias(f) for f in _FIELDS))
-    return identity.upsert(flat.where("engine = 'anystyle'"), flat.where("coalesce(engine, '') <> 'anystyle'"), _FIELDS)
+    flat = graded.select("graded_id", F.col("candidate.doi").alias("entity_id"), F.lower(F.trim("candidate.from_structure")).alias("engine"), *(F.col(f"candidate.{f}").alias(f) for f in _FIELDS))
+    return identity.upsert(flat.where("engine = 'anystyle'"), flat.where("coalesce(engine, '') <> 'anystyle'"), _FIELDS, order="graded_id")
 
 
 @query("""
@@ -284,7 +334,18 @@ def q6_short_citations(spark: SparkSession, sf: str) -> DataFrame:
 
 # Citations, retrieval, grading
 
-@query()
+_VALID = "regexp_matches({0}, '^\\p{{Lu}}') AND len(list_filter(regexp_split_to_array({0}, '\\s+'), lambda w: w <> '')) > 10 AND NOT starts_with(lower({0}), 'doi')"
+_STRIPPED = "trim({0}, ' .;:,!?')"
+
+
+@query(f"""
+WITH e AS (SELECT row_id, bib_key, list_transform(string_split(trim(text, ' .;:,'), ';'), lambda x: trim(x, ' .;:,!?')) AS l FROM {_ENTRIES}),
+f AS (SELECT row_id, bib_key, string_split(list_reduce(list_prepend('', l), lambda acc, x: CASE WHEN {_VALID.format('x')} THEN CASE WHEN acc = '' THEN x ELSE acc || chr(30) || x END
+  ELSE acc || x || ';' END), chr(30)) AS p FROM e WHERE l IS NOT NULL),
+g AS (SELECT row_id, bib_key, CASE WHEN {_VALID.format(_STRIPPED.format('p[-1]'))} THEN p ELSE p[:-2] END AS p FROM f),
+u AS (SELECT row_id, bib_key, list_filter(p, lambda x: x <> '') AS p FROM g)
+SELECT row_id, bib_key, unnest(range(len(p)))::int AS piece_pos, unnest(p) AS text FROM u
+UNION ALL SELECT row_id, bib_key, NULL, NULL FROM e LEFT JOIN u USING (row_id, bib_key) WHERE coalesce(len(p), 0) = 0""")
 def r1_split(spark: SparkSession, sf: str) -> DataFrame:
     """Bibliography texts split at semicolons."""
     return citations.split_rows(_raw_entries(spark, sf).select("row_id", "bib_key", "text"))
@@ -304,7 +365,7 @@ p AS (SELECT entity_id, len(w) AS len, token, count(*) AS tf FROM (SELECT entity
 z AS (SELECT (SELECT count(*) FROM s2_rows) AS n, (SELECT avg(len(w)) FROM d WHERE len(w) > 0) AS avg_len),
 f AS (SELECT token, count(*) AS df FROM p GROUP BY 1),
 u AS (SELECT DISTINCT query_id, token, df FROM q JOIN f USING (token)),
-c AS (SELECT DISTINCT query_id, entity_id FROM (SELECT *, min(df) OVER (PARTITION BY query_id) AS low FROM u) u JOIN p USING (token), z WHERE df <= n * 0.1 OR df = low),
+c AS (SELECT DISTINCT query_id, entity_id FROM u JOIN p USING (token)),
 s AS (SELECT query_id, entity_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))), 6) AS bm25
   FROM c JOIN u USING (query_id) JOIN p USING (entity_id, token), z GROUP BY ALL)
 SELECT * FROM (SELECT query_id, entity_id, bm25, row_number() OVER (PARTITION BY query_id ORDER BY bm25 DESC, entity_id) AS hit_rank FROM s) WHERE hit_rank <= 5""")
@@ -406,7 +467,7 @@ _PARAGRAPHS = "(SELECT section_id, unnest(range(len(section_content))) AS para_p
 
 
 @query(f"""
-SELECT section_id, para_pos, CASE WHEN text IS NULL THEN 'NoSource' WHEN {" OR ".join(f"contains(text, '{x}')" for x in tex.DRAWING_FLAGS)} THEN 'HasTIKZ' ELSE 'NoTIKZ' END AS status
+SELECT section_id, para_pos, CASE WHEN text IS NULL THEN 'NoSource' WHEN {" OR ".join(f"contains(text, '{x}')" for x in ("tikz-cd", "sty_jtana_tikzit", "auxTikzDefs", "tikzit", "tikz-timing", "tikzpicture"))} THEN 'HasTIKZ' ELSE 'NoTIKZ' END AS status
 FROM {_PARAGRAPHS}""")
 def a20_drawings(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs with drawings in their source."""
@@ -414,7 +475,8 @@ def a20_drawings(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("section_id", F.col("para_pos").cast("bigint").alias("para_pos"), tex.has_drawing(F.col("text")).alias("status"))
 
 
-@query()
+@query(f"""
+SELECT section_id, para_pos::int AS para_pos, regexp_replace(regexp_replace(text, '(?m)^[ \\t]*%.*(?:\\r?\\n|$)', '', 'g'), '(?m)(^|[^\\\\])%.*$', '\\1', 'g') AS text FROM {_PARAGRAPHS}""")
 def e1_uncommented(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs without TeX comments."""
     rows = table(spark, sf, "sections").select("section_id", F.posexplode("section_content").alias("para_pos", "text"))
@@ -462,11 +524,15 @@ def v1_palette(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", colour.palette(F.col("doc_id")).alias("colour"))
 
 
-@query("SELECT section_id, '#' || ' ' || coalesce(section_title, '') AS heading, count(*) AS n FROM sections GROUP BY ALL")
+@query("""
+SELECT section_id::varchar AS paper_id, '## ' || trim(regexp_replace(section_title, '\\s+', ' ', 'g')) || chr(10) || chr(10) || 'x' AS markdown
+FROM (SELECT section_id, max(section_title) AS section_title FROM sections WHERE regexp_matches(section_title, '^[A-Za-z0-9 ,.:-]*[A-Za-z0-9]$') AND length(section_title) < 200 GROUP BY 1)""")
 def v5_headings(spark: SparkSession, sf: str) -> DataFrame:
-    """Headings of sections as Markdown."""
-    head = F.concat(F.lit("# "), F.coalesce("section_title", F.lit("")))
-    return table(spark, sf, "sections").groupBy("section_id", head.alias("heading")).agg(F.count("*").alias("n"))
+    """Sections with plain titles as papers of one section, written as Markdown by the renderer."""
+    plain = "section_title rlike '^[A-Za-z0-9 ,.:-]*[A-Za-z0-9]$' and length(section_title) < 200"
+    rows = table(spark, sf, "sections").where(plain).groupBy("section_id").agg(F.max("section_title").alias("t"))
+    page = F.concat(F.lit("<html><body><article><section class='ltx_section'><h2>"), "t", F.lit("</h2><p class='ltx_p'>x</p></section></article></body></html>"))
+    return documents.markdown(documents.converted(rows.select(F.col("section_id").cast("string").alias("paper_id"), page.alias("content")), html=True))
 
 
 # Relational operators on the star schema, as a sanity check of plans

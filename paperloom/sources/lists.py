@@ -8,7 +8,7 @@ import tarfile
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Endings of archive members that are TeX sources (fixed values).
@@ -69,14 +69,64 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def item_records(spark: SparkSession, path: str) -> DataFrame:
-    """The elements of ``items`` of JSON documents, plain or gzip (A5)."""
-    whole = spark.read.text(path, wholetext=True).where("trim(value) <> ''")
-    items = F.try_variant_get(F.try_parse_json("value"), "$.items", "array<variant>")
-    return whole.select(F.explode(items).alias("record"))
+    """The elements of ``items`` of JSON documents, plain or gzip, and whole lines of ``.jsonl`` files (A5). Empty files have none."""
+    def read(ending: str, whole: bool) -> DataFrame | None:
+        if path.endswith(ending):
+            return spark.read.text(path, wholetext=whole)
+        return spark.read.option("pathGlobFilter", f"*{ending}").text(path, wholetext=whole) if not path.endswith((".json", ".gz", ".jsonl")) else None
+
+    parts = []
+    for ending, whole in ((".json", True), (".gz", True), (".jsonl", False)):
+        found = read(ending, whole)
+        if found is not None:
+            record = F.try_parse_json("value")
+            items = F.try_variant_get(record, "$.items", "array<variant>") if whole else F.array(record)
+            parts.append(found.where("trim(value) <> ''").select(F.explode(items).alias("record")))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def line_count(spark: SparkSession, path: str) -> int:
+    """The number of lines of a text, blank ones too (Q8)."""
+    return spark.read.text(path).count() if exists(spark, path) else 0
+
+
+def dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """A list of names, one on a line, as a set: name (A18). Blank lines are none."""
+    return text_lines(spark, path).where("line <> ''").select(F.col("line").alias("name")).distinct()
+
+
+def venue_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON object from a venue's name to all its names: venue (lower case), names."""
+    pairs = F.try_variant_get("record", "$", "map<string,array<string>>")
+    return json_document(spark, path).select(F.explode(pairs).alias("venue", "names")).select(F.lower("venue").alias("venue"), "names")
+
+
+def point_read(store: DataFrame, keys: DataFrame, key: str = "_id") -> DataFrame:
+    """The records of some keys, with whether each is there (A15, A16). A record wrapped once more in ``doc`` is unwrapped."""
+    found = keys.select(key).distinct().join(store.withColumn("found", F.lit(True)), key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    return found.withColumn("doc", F.coalesce(F.try_variant_get("doc", "$.doc", "variant"), F.col("doc"))) if "doc" in found.columns else found
+
+
+def reference_number(label: Column) -> Column:
+    """The place of a reference and its paper in a label such as ``Ref.3 of ArXiv:x``."""
+    return F.struct(F.regexp_extract(label, r"^Ref\.(\d+) of ", 1).try_cast("int").alias("pos"), F.nullif(F.regexp_extract(label, r" of ArXiv:(.+)$", 1), F.lit("")).alias("paper_id"))
+
+
+def with_update(store: DataFrame, changes: DataFrame, key: str = "_id") -> DataFrame:
+    """The store with the fields of some records replaced; unknown keys change nothing."""
+    fields = [c for c in changes.columns if c != key]
+    joined = store.join(changes.withColumnsRenamed({f: f"_new_{f}" for f in fields}), key, "left")
+    return joined.select(key, *(F.coalesce(f"_new_{f}", f).alias(f) if f in fields else F.col(f) for f in store.columns if f != key))
 
 
 def tei_records(spark: SparkSession, path: str) -> DataFrame:
-    """Bibliographic records of TEI files with their place: path, pos, title, author, journal, year, note."""
+    """Bibliographic records of TEI files with their place: path, pos, title, author, journal, year, note, status.
+
+    A file that is no XML has one row with the status ParseError, one without records the status Empty.
+    """
     from xml.etree import ElementTree as ET
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,6 +136,7 @@ def tei_records(spark: SparkSession, path: str) -> DataFrame:
                 try:
                     root = ET.fromstring(text)
                 except ET.ParseError:
+                    rows.append((at, None, None, None, None, None, None, "ParseError"))
                     continue
                 structs = [e for e in root.iter() if e.tag.rpartition("}")[2] == "biblStruct"]
                 for pos, e in enumerate(structs):
@@ -96,10 +147,13 @@ def tei_records(spark: SparkSession, path: str) -> DataFrame:
                         return next((" ".join("".join(x.itertext()).split()) for x in hits), None) or None
 
                     people = [" ".join(" ".join(x.itertext()).split()) for t, x in named if t == "persName"]
-                    rows.append((at, pos, said("title"), people, said("title", level="j"), said("date"), said("note")))
-            yield pd.DataFrame(rows, columns=["path", "pos", "title", "author", "journal", "year", "note"])
+                    rows.append((at, pos, said("title"), people, said("title", level="j"), said("date"), said("note"), "Pass"))
+                if not structs:
+                    rows.append((at, None, None, None, None, None, None, "Empty"))
+            made = pd.DataFrame(rows, columns=["path", "pos", "title", "author", "journal", "year", "note", "status"])
+            yield made.astype({"pos": "Int32"})
 
-    return whole_texts(spark, path).mapInPandas(run, "path string, pos int, title string, author array<string>, journal string, year string, note string")
+    return whole_texts(spark, path).mapInPandas(run, "path string, pos int, title string, author array<string>, journal string, year string, note string, status string")
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:
@@ -142,3 +196,11 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     """Log files as lines with their place: path, pos, line."""
     whole = whole_texts(spark, path, "*.log")
     return whole.select("path", F.posexplode(F.split("content", r"\r?\n")).alias("pos", "line"))
+
+
+def counted_against(records: DataFrame, references: DataFrame) -> DataFrame:
+    """Whether a paper's parsed records are as many as its references: paper_id, n_records, n_references, status (A10)."""
+    a = records.where("pos is not null").groupBy("paper_id").agg(F.count("*").alias("n_records"))
+    b = references.groupBy("paper_id").agg(F.count("*").alias("n_references"))
+    both = b.join(a, "paper_id", "left").fillna(0, ["n_records"])
+    return both.withColumn("status", F.when(F.col("n_records") == F.col("n_references"), "Pass").when(F.col("n_records") == 0, "NoFile").otherwise("Fail"))

@@ -47,7 +47,7 @@ def test_html():
 def test_statuses():
     long = "x" * 200
     assert extract(None, "P", False)["status"] == "NoXML" and extract("<a/>", "P", False)["status"] == "TooSmall"
-    assert extract(f"<a>{long}", "P", False)["status"] == "ParseError" and extract(f"<p>{long}", "P", True)["status"] == "NoArticle"
+    assert extract(long, "P", False)["status"] == "ParseError" and extract(f"<a>{long}", "P", False)["status"] == "Finish" and extract(f"<p>{long}", "P", True)["status"] == "NoArticle"
     assert extract("<article>" + "<div>" * 5000 + long, "P", True)["status"] in ("Finish", "TooDeep")
 
 
