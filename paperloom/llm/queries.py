@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import encoding, markup, matching, mixing, names, sentences, suffixes, survivor
-from paperloom.session import table
+from paperloom.session import persist_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,9 +103,30 @@ def p10_sentences(spark: SparkSession, sf: str) -> DataFrame:
     return sentences.sentences(table(spark, sf, "documents"))
 
 
+def p9_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """For each target its share, and whether the mixture keeps to it: within one document, no document more often than allowed."""
+    docs, targets = table(spark, sf, "documents"), table(spark, sf, "mix_targets")
+    mixture = persist_table(mixing.mix(docs, targets), "mixture")
+    made = mixing.shares(mixture, targets)
+    live = made.where("tokens > 0").agg(F.sum("target_share").alias("live"), F.sum("tokens").alias("total"))
+    most = mixture.groupBy("source").agg(F.max("n_tokens").alias("longest"))
+    allowed = targets.where("source is not null").groupBy("source").agg(F.max(F.coalesce("max_repeats", F.lit(0))).alias("allowed"))
+    each = made.join(most, "source", "left").join(allowed, "source").crossJoin(F.broadcast(live))  # a row per target, one row of totals
+    off = F.abs(F.col("tokens") - F.col("target_share") / F.col("live") * F.col("total"))
+    kept = (F.col("tokens") == 0) | ((off <= 2 * F.col("longest") + 0.001 * F.col("total")) & (F.col("most_copies") <= F.col("allowed")))
+    return each.select("source", F.round("target_share", 9).alias("target_share"), kept.alias("kept"))
+
+
+def p10_rejoined(spark: SparkSession, sf: str) -> DataFrame:
+    """The signs of every document's units, in order, without blanks."""
+    rows = sentences.sentences(table(spark, sf, "documents"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))), lambda x: x["sentence"]), "")
+    return rows.groupBy("doc_id").agg(F.regexp_replace(joined, r"(?U)[\s\x1c-\x1f]+", "").alias("signs"))
+
+
 def queries() -> dict[str, Query]:
     found = (p1_found, p1_entities, p2_found, p2_clean, p2_runs, p2_unique, p3_found, p3_fused, p3_sources, p5_found, p5_matches, p8_ids, p8_decoded,
-             p9_mixture, p9_shares, p10_found, p10_sentences)
+             p9_mixture, p9_shares, p9_kept, p10_found, p10_sentences, p10_rejoined)
     return {f.__name__: f for f in found}
 
 
@@ -130,8 +151,28 @@ SELECT graded_id FROM r WHERE rn = 1 AND n >= 2
 """
 
 
+_P2_RUNS = """
+WITH d AS (SELECT DISTINCT coalesce(paper_id, 'page ' || section_id) AS host, section_id AS page, section_content AS c FROM sections),
+w AS (SELECT host, page, para, place, word, row_number() OVER (PARTITION BY host, page, c ORDER BY para, place) AS pos, c FROM (
+  SELECT host, page, c, para, unnest(range(len(l))) AS place, unnest(l) AS word FROM (
+    SELECT host, page, c, para, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS l FROM (
+      SELECT host, page, c, unnest(range(len(c)))::int AS para, unnest(c) AS text FROM d)))),
+s AS (SELECT *, list(word) OVER (PARTITION BY host, page, c ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS k FROM w),
+b AS (SELECT host, k, min(page) AS owner FROM s WHERE len(k) = 8 GROUP BY 1, 2 HAVING min(page) < max(page)),
+h AS (SELECT s.host, s.page, s.c, s.pos FROM s JOIN b ON b.host = s.host AND b.k = s.k WHERE s.page > b.owner),
+v AS (SELECT DISTINCT w.host, w.page, w.para, w.place FROM h JOIN w ON w.host = h.host AND w.page = h.page AND w.c IS NOT DISTINCT FROM h.c AND w.pos BETWEEN h.pos AND h.pos + 7),
+i AS (SELECT *, place - row_number() OVER (PARTITION BY host, page, para ORDER BY place) AS island FROM v)
+SELECT host, page, para, min(place)::int AS first, max(place)::int AS last FROM i GROUP BY host, page, para, island"""
+
+
 def oracle_sql() -> dict[str, str]:
+    blanks = "[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x0B\\x1c-\\x1f]+"
     return {
+        "p2_runs": _P2_RUNS,
+        "p9_kept": """
+WITH t AS (SELECT source, sum(coalesce(weight, 0)) AS w, max(coalesce(max_repeats, 0)) AS r FROM mix_targets WHERE source IS NOT NULL GROUP BY 1)
+SELECT source, round(w / (SELECT sum(w) FROM t), 9) AS target_share, true AS kept FROM t""",
+        "p10_rejoined": f"SELECT doc_id, regexp_replace(text, '{blanks}', '', 'g') AS signs FROM documents WHERE regexp_replace(text, '{blanks}', '', 'g') <> ''",
         "p3_found": _P3,
         "p8_decoded": "SELECT doc_id, true AS same FROM documents",
     }
