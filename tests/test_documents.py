@@ -32,7 +32,7 @@ def test_xml():
     assert [(r["key"], r["text"], r["is_note"]) for r in d["references"]] == [("k1", "J. Doe, A work, 1999.", False)]
     assert d["cited"] == {"k1": 1, "k2": 1, "F1": 1} and d["missing"] == ["k2"]
     assert d["labels"]["F1"] == {"type": "Figure", "label": "2"} and d["labels"]["E1"]["label"] == "3" and d["labels"]["S1"]["label"] == "1"
-    assert d["media"]["T1"]["source"] == "| a | b |\n| --- | --- |\n| 1 | 2 |" and d["media"]["F1"]["caption"] == "Figure 2A plot."
+    assert d["media"]["T1"]["source"] == "| a | b |\n| --- | --- |\n| 1 | 2 |" and d["media"]["F1"]["caption"] == "A plot."
     text = "\n".join(b["text"] for b in d["blocks"])
     assert "$x^2$" in text and "[Figure.2 of P]" in text and "Ref.0" in text and "$$ a=b $$" in text and "**bold**" in text and "A footnote." in text
     assert [(b["path"], b["text"]) for b in d["blocks"] if b["kind"] == "heading"] == [([0], "Start"), ([0, 0], "Inner")]

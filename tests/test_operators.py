@@ -156,7 +156,7 @@ def test_citation_texts(spark):
     got = {}
     for r in citations.split_rows(df).collect():
         got.setdefault(r.i, []).append(r.text)
-    assert got == {1: [a, b], 2: [f"{a}; pp. 3"], 3: ["short"], 4: [None], 5: [f"front; {a}", b]}
+    assert got == {1: [a, b], 2: [f"{a}pp. 3;"], 3: [None], 4: [None], 5: ["front;", a, b]}
     short = spark.createDataFrame([("x" * 7000,), ("y",)], "t string").select(citations.shortened(F.col("t")).alias("t")).collect()
     assert [len(r.t) for r in short] == [6004, 1]
     refs = spark.createDataFrame([("p", 0, "a"), ("p", 1, "b"), ("q", 0, "c")], "paper_id string, pos int, text string")
@@ -184,3 +184,54 @@ def test_canonical_references(spark):
 def test_ranks_have_no_gaps(spark):
     df = spark.createDataFrame([(x,) for x in itertools.chain(range(50), [7, 7])], "k int")
     assert sorted(r.n for r in batch.with_rank(df, "k", "n").collect()) == list(range(52))
+
+
+def test_session_without_a_shared_folder(spark):
+    """A cut needs no setting on one machine; elsewhere it is asked for."""
+    import types
+
+    from paperloom import session
+
+    none = types.SimpleNamespace(get=lambda *_: None)
+    here, there = (types.SimpleNamespace(conf=none, sparkContext=types.SimpleNamespace(master=m)) for m in ("local[2]", "spark://host:7077"))
+    assert session.shared_dir(here).startswith("file://") and session.shared_dir(here) == session.shared_dir(here)
+    try:
+        session.shared_dir(there)
+    except ValueError as e:
+        assert "spark.checkpoint.dir" in str(e)
+    else:
+        raise AssertionError("no error")
+
+
+def test_groups_of_long_chains(spark):
+    """Rows tied one to the next over a long chain are one group; the smallest row names it."""
+    from paperloom.operators import identity
+
+    n = 100
+    rows = [(f"r{i:03}", "doi", str(j)) for i in range(n) for j in (i, i + 1)] + [("s1", "doi", "x"), ("s2", "doi", "x"), ("t", "doi", "y")]
+    got = {r.row_key: r.group for r in identity.within_source(spark.createDataFrame(rows, "row_key string, type string, value string")).collect()}
+    assert {got[f"r{i:03}"] for i in range(n)} == {"r000"} and got["s2"] == got["s1"] == "s1" and got["t"] == "t"
+
+
+def test_search_finds_what_only_common_words_name(spark):
+    """A query whose rare word leads elsewhere still finds the record that its common words name best."""
+    docs = [(i, "deep drift of jets") for i in range(40)] + [(100, "rare odd thing else"), (101, "deep drift of jets in jets of drift")]
+    df = spark.createDataFrame(docs, "entity_id bigint, title string")
+    asked = spark.createDataFrame([(1, "deep drift of jets odd")], "query_id bigint, title string")
+    found, every = ([(r.entity_id, r.bm25) for r in retrieval.bm25(asked, df, ["title"], 5, most_common=m).orderBy("hit_rank").collect()] for m in (0.1, 1.0))
+    assert found == every and len(found) == 5
+
+
+def test_recommended_is_exact(spark):
+    import random
+
+    rng = random.Random(4)
+    known = [("p", f"k{i}", "".join(rng.choice("abc ") for _ in range(rng.randint(5, 40))).strip() or "x") for i in range(60)]
+    asked = []
+    for i, (_, _, t) in enumerate(known):
+        at = rng.randrange(len(t))
+        asked.append(("p", f"q{i}", (t[:at] + rng.choice("abc") + t[at + rng.randint(0, 2):])))
+    a, k = spark.createDataFrame(asked, "paper_id string, query_id string, text string"), spark.createDataFrame(known, "paper_id string, entry_id string, text string")
+    got = {r.query_id: r.ratio for r in grading.recommended(a, k).collect()}
+    want = {q: max(scoring.ratio(t, u) for _, _, u in known) for _, q, t in asked}
+    assert got == {q: r for q, r in want.items() if r >= 90}
