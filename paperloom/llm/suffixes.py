@@ -87,7 +87,9 @@ def runs(sections: DataFrame, **columns: str) -> DataFrame:
 def unique(sections: DataFrame, host: str = "paper_id", page: str = "section_id", text: str = "section_content") -> DataFrame:
     """Every paragraph without the passages that an earlier page of its host has: host, page, para, text.
 
-    A paragraph that keeps all its tokens keeps its white space too; others have single blanks.
+    A paragraph that keeps all its tokens keeps its white space too; others have single blanks. The
+    text is generated, so that the optimizer doesn't merge its nested lambdas into the argument of a
+    Python function that is applied to it: there it can't evaluate them.
     """
     own = F.coalesce(F.col(host), F.concat(F.lit("page "), F.col(page).cast("string")))
     rows = sections.select(own.alias("host"), F.col(page).alias("page"), F.posexplode(text).alias("para", "text")).dropDuplicates(["host", "page", "para", "text"])
@@ -98,6 +100,5 @@ def unique(sections: DataFrame, host: str = "paper_id", page: str = "section_id"
         return ~F.exists("cut", lambda c: i.between(c["first"], c["last"]))
 
     less = F.array_join(F.filter(words, kept), " ")
-    return rows.join(cut, ["host", "page", "para"], "left").select(
-        "host", "page", "para", F.when(F.col("cut").isNull(), F.col("text")).otherwise(less).alias("text")
-    )
+    left = F.when(F.col("cut").isNull(), F.col("text")).otherwise(less)
+    return rows.join(cut, ["host", "page", "para"], "left").select("host", "page", "para", F.explode(F.array(left)).alias("text"))

@@ -2,7 +2,7 @@
 
 import random
 
-from paperloom.llm import suffixes
+from paperloom.llm import queries, suffixes
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,18 @@ def test_edges(spark):
     df = spark.createDataFrame(rows, "section_id bigint, paper_id string, section_content array<string>")
     assert [(r.host, r.page, r.para, r["first"], r["last"]) for r in suffixes.runs(df).collect()] == [("h", 6, 1, 0, 9)]
     assert suffixes.runs(df.limit(0)).count() == 0 and suffixes.unique(df.limit(0)).count() == 0
+
+
+def test_clean_text_without_shared_passages(spark, tmp_path):
+    shared = "one two three four five six seven eight"
+    rows = [
+        (1, "h", [f"{shared} <b>nine</b>", None]), (2, "h", [f"a  *b* &amp; {shared} c", "  <i>kept</i>  whole", "", None, shared]), (3, None, [f"{shared} \\emph{{x}}"]), (4, "h", None),
+    ]
+    df = spark.createDataFrame(rows, "section_id bigint, paper_id string, section_content array<string>")
+    df.unionByName(df.limit(1)).write.parquet(f"{tmp_path}/sections.parquet")
+    got = sorted((tuple(r) for r in queries.p2_unique(spark, str(tmp_path)).collect()), key=lambda r: r[1:3])
+    assert got == [
+        ("h", 1, 0, f"{shared} nine"), ("h", 1, 1, None),
+        ("h", 2, 0, "a b & c"), ("h", 2, 1, "kept  whole"), ("h", 2, 2, ""), ("h", 2, 3, None), ("h", 2, 4, ""),
+        ("page 3", 3, 0, f"{shared} x"),
+    ]
