@@ -86,6 +86,15 @@ def test_few_surnames_meet(spark):
     assert met < len(keys) ** 2 // 100
 
 
+def test_nothing_that_grows_is_broadcast(spark, tmp_path):
+    spark.createDataFrame([("klostermann",), ("vandermeer",)], "skey string").write.parquet(f"{tmp_path}/keys")
+    near = names.radius_join(spark.read.parquet(f"{tmp_path}/keys"))
+    linked = names.linked_pairs(graded(spark, [["Ada Klostermann"], ["A. Klostermann"]]))
+    for df in (near, linked):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parse():
     same = [
         "Katherine Y. Klealqueinysh", "K. Y. Klealqueinysh", "Klealqueinysh, Katherine", "KLEALQUEINYSH, K.", "Klealqueinysh KY", "K.Y.Klealqueinysh",
