@@ -222,6 +222,20 @@ def test_search_finds_what_only_common_words_name(spark):
     assert found == every and len(found) == 5
 
 
+def test_search_shuffles_no_pairs(spark, monkeypatch):
+    """Where every query shares words with every record, what is shuffled follows both tables, not their product; many blocks find what one finds."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(["deep", "drift", *rng.choices("abcdefghij", k=4)])) for i in range(3000)]
+    df, asked = spark.createDataFrame(docs, "entity_id bigint, title string"), spark.createDataFrame(docs[:400], "query_id bigint, title string")
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = written()
+    one = sorted(map(tuple, retrieval.bm25(asked, df, ["title"], 5, most_common=1.0).collect()))
+    assert written() - before < 2_000_000 and len(one) == 2000
+    monkeypatch.setattr(retrieval, "WORDS_AT_ONCE", 1000)
+    monkeypatch.setattr(retrieval, "ASKED_AT_ONCE", 500)
+    assert sorted(map(tuple, retrieval.bm25(asked, df, ["title"], 5).collect())) == one
+
+
 def test_recommended_is_exact(spark):
     import random
 
